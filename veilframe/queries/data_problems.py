@@ -155,7 +155,7 @@ m AS (SELECT *, sum1 / n_numeric AS mean,
              greatest(sum2 / n_numeric - (sum1 / n_numeric) * (sum1 / n_numeric), 0) AS var FROM prof)
 SELECT a.feed_id, a.load_no, a.column_name, round((a.mean - b.mean) / sqrt((a.var + b.var) / 2), 6) AS std_difference
 FROM m a JOIN m b ON a.feed_id = b.feed_id AND a.column_name = b.column_name AND a.load_no = b.load_no + 1
-WHERE a.var + b.var > 0"""
+WHERE a.var + b.var > 0 AND a.n_numeric IS NOT NULL AND b.n_numeric IS NOT NULL"""
 SQL["p6_found"] = """
 WITH days AS (
   SELECT upper(trim(usubjid)) AS usubjid,
