@@ -5,10 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import leakage, truncation
+from veilframe.llm import canonical, leakage, truncation
 from veilframe.session import table
 
 
+def _mapped(spark: SparkSession, d: str) -> DataFrame:
+    terms = table(spark, d, "term_dict")
+    rows = [
+        canonical.uncoded(
+            table(spark, d, name).select(
+                F.lit(name).alias("table_name"), "rec_id", F.col(f"{name}term").alias("term"), F.col(f"{name}decod").alias("decod")
+            ),
+            "decod",
+            terms,
+            "pref_term",
+        )
+        for name in ("ae", "mh")
+    ]
+    return canonical.map_values(
+        rows[0].unionByName(rows[1]), ["table_name", "rec_id"], ["term", "decod"], terms, "term_id", "pref_term", "alt_terms"
+    ).withColumnRenamed("entry_id", "term_id")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _mapped(spark, d)
+
+
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    """Uncoded records and those without an entry, per table."""
+    return _mapped(spark, d).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_uncoded"), F.count_if(F.col("term_id") == -1).alias("n_unmatched")
+    )
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(
         table(spark, d, "documents"), table(spark, d, "eval_item"), "doc_id", "text", "item_id", "text"
@@ -36,5 +65,5 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_rates(documents, truncation.truncated(documents))
 
 
-QUERIES = {f.__name__: f for f in (p8_found, p8_items, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p8_found, p8_items, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
