@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import canonical, leakage, truncation
+from veilframe.llm import canonical, leakage, pii, truncation
 from veilframe.session import table
 
 
@@ -38,6 +38,27 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _details(spark: SparkSession, d: str) -> DataFrame:
+    rows = [
+        table(spark, d, name).select(F.lit(name).alias("table_name"), "rec_id", F.col(f"{name}term").alias("term"))
+        for name in ("ae", "mh")
+    ]
+    names = table(spark, d, "term_dict").select("pref_term", "alt_terms").toLocalIterator()
+    terms = [t for r in names for t in [r[0], *(r[1] or "").split("|")] if t]
+    return pii.find(rows[0].unionByName(rows[1]), ["table_name", "rec_id"], "term", terms)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _details(spark, d).select("table_name", "rec_id", F.explode("details").alias("_d")).select(
+        "table_name", "rec_id", "_d.pii_type", "_d.start_pos"
+    )
+
+
+def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every text with typed placeholders in place of its details."""
+    return _details(spark, d).select("table_name", "rec_id", F.size("details").alias("n_details"), "redacted")
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(
         table(spark, d, "documents"), table(spark, d, "eval_item"), "doc_id", "text", "item_id", "text"
@@ -65,5 +86,5 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_rates(documents, truncation.truncated(documents))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p8_found, p8_items, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_redacted, p8_found, p8_items, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
