@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import canonical, leakage, pii, truncation
+from veilframe.llm import canonical, leakage, mixing, pii, truncation
 from veilframe.session import table
 
 
@@ -77,6 +77,16 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """Drawn documents with their copies."""
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every target source."""
+    return mixing.shares(*mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target")))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncated(table(spark, d, "documents")).select("doc_id")
 
@@ -86,5 +96,5 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_rates(documents, truncation.truncated(documents))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_redacted, p8_found, p8_items, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_redacted, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
