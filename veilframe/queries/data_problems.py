@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.operators import drift, intervals, orphans, quality
+from veilframe.operators import drift, intervals, orphans, quality, timestamps
 from veilframe.session import cut, table
 
 LB_COLUMNS = ["lbtestcd", "lbtest", "lborres", "lborresu", "visitnum", "lbdtc"]
@@ -39,6 +39,39 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return orphans.orphan_report(_orphans(spark, d), _refs(spark, d).unionByName(specs))
 
 
+def _normalised(spark: SparkSession, d: str) -> DataFrame:
+    tracks = timestamps.columns_as_tracks(
+        {
+            "ae_log": (table(spark, d, "ae_log"), "subject", ["ae_start"]),
+            "mh_log": (table(spark, d, "mh_log"), "subject", ["mh_onset"]),
+            "demog": (table(spark, d, "demog"), "subject", ["birth_dt", "enrol_dt"]),
+        }
+    )
+    sites = table(spark, d, "site_ref").select(F.col("siteid").alias("source"), "zone_name", "date_order")
+    return timestamps.normalise(tracks, sites)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _normalised(spark, d).select(
+        F.split_part("track", F.lit("."), F.lit(1)).alias("table_name"),
+        "rec_id",
+        F.split_part("track", F.lit("."), F.lit(2)).alias("field_name"),
+        "norm_value",
+    )
+
+
+def p4_precision(spark: SparkSession, d: str) -> DataFrame:
+    """Values per column and precision kept."""
+    kind = (
+        F.when(F.col("norm_value") == "INVALID", "invalid")
+        .when(F.length("norm_value") == 4, "year")
+        .when(F.length("norm_value") == 7, "month")
+        .when(F.length("norm_value") == 10, "day")
+        .otherwise("second")
+    )
+    return _normalised(spark, d).groupBy("track", kind.alias("precision")).agg(F.count(F.lit(1)).alias("n_values"))
+
+
 def _lb_profile(spark: SparkSession, d: str) -> DataFrame:
     return quality.profile(table(spark, d, "lb"), ["feed_id", "load_no"], LB_COLUMNS, LB_PATTERNS)
 
@@ -85,7 +118,7 @@ def p7_unified(spark: SparkSession, d: str) -> DataFrame:
     return whole.select("stream_id", "file_id", "record_key", F.explode("fields").alias("field_name", "value"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_report, p5_found, p5_profile, p5_shift, p6_found, p7_found, p7_unified)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_report, p4_found, p4_precision, p5_found, p5_profile, p5_shift, p6_found, p7_found, p7_unified)}
 SQL: dict[str, str] = {}
 
 _REFS = """
