@@ -3,7 +3,7 @@
 A skip-chain conditional random field labels every token as name, e-mail,
 phone, identity number, address or other.
 
-* Node potentials read the token, its shape, two neighbours on either side and
+* Node potentials read the token, its shape, its neighbours (three before, two after) and
   whether a written form of a detail (``FORMS``) runs through it.
 * Chain edges join neighbouring tokens; skip edges join distant tokens of one
   document that are the same or alike (a name and the local part of a mail
@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 
 LABELS = ["other", "name", "email", "phone", "id_number", "address"]
 TRAINING_TEXTS = 12000
-BUCKETS, ROLES, EPOCHS = 1 << 15, 5, 6
+BUCKETS, ROLES, EPOCHS = 1 << 15, 6, 6
+#: Role of a neighbour and its distance.
+LAGS = ((1, -1), (2, 1), (3, -2), (4, 2), (5, -3))
 #: Iterations of message passing on documents with skip edges.
 SWEEPS = 8
 
@@ -93,8 +95,8 @@ def known(token: str, lexicon: frozenset[str]) -> int:
 
 
 def role_features(token: str, role: int, lexicon: frozenset[str], own: int) -> list[int]:
-    """Features of a token seen from itself (0) or from a neighbour (1..4) of class ``own``."""
-    low = token.lower()
+    """Features of a token seen from itself (0) or from a neighbour (1..5) of class ``own``."""
+    low = shape(token) if token.isdigit() else token.lower()
     k, form = KNOWN[known(token, lexicon)], shape(token)
     out = [f"{role}w{low}", f"{role}s{form}", f"{role}k{k}", f"{role}sk{form}{k}"]
     if role == 0:
@@ -163,7 +165,9 @@ class Field:
         role = np.stack([self.roles(t) for t in tokens])
         own = np.array([known(t, self.lexicon) for t in tokens])
         out = role[:, 0, 0] + self.form[forms] + self.start[starts]
-        for r, lag in ((1, -1), (2, 1), (3, -2), (4, 2)):
+        for r, lag in LAGS:
+            if len(tokens) <= abs(lag):
+                continue
             if lag < 0:
                 out[-lag:] += role[np.arange(len(tokens) + lag), own[-lag:], r]
             else:
@@ -294,7 +298,7 @@ def _identity(r: random.Random) -> tuple[str, str]:
     kind = r.choice(["ssn", "ni", "pass", "mrn"])
     if kind == "ssn":
         sep = r.choice("- ")
-        return r.choice(["SSN ", "soc sec no. ", "social security ", "ID: ", "", ""]), _number(r, f"999{sep}99{sep}9999")
+        return r.choice(["SSN ", "soc sec no. ", "soc sec no. ", "social security ", "ID: ", "", ""]), _number(r, f"999{sep}99{sep}9999")
     if kind == "ni":
         return r.choice(["NI no ", "NINO: ", "national ins. ", "insurance no "]), _number(r, "AA 99 99 99 A")
     if kind == "pass":
@@ -370,7 +374,7 @@ def _sentence(r: random.Random, terms: list[str]) -> tuple[str, list[tuple[str,
     kind = r.randrange(37) if r.random() < 0.55 else -1
     if kind < 0:
         say((r.choice(_QUAL) + " ") if r.random() < 0.4 else r.choice(["", "", "- ", "* ", " "]), term)
-        tail = r.choice(_TAIL)
+        tail = _number(r, re.sub(r"\d", "9", t)) if re.search(r"(kit|serial|lot|device|batch)", t := r.choice(_TAIL)) else t
         say(" " if tail and tail[0] not in ".,;?!" else "", tail)
     elif kind == 0:
         say(term, ", seen by ", r.choice(["Dr. ", "Dr ", "Prof. "]), person)
@@ -466,7 +470,7 @@ def train(terms: list[str], texts: int = TRAINING_TEXTS, seed: int = 11) -> Fiel
         for i, token in enumerate(tokens):
             own = known(token, lexicon)
             ids = role_features(token, 0, lexicon, own)
-            for role, lag in ((1, -1), (2, 1), (3, -2), (4, 2)):
+            for role, lag in LAGS:
                 if 0 <= i + lag < len(tokens):
                     ids += role_features(tokens[i + lag], role, lexicon, own)
             rows.append(ids)
