@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from veilframe.functions import rawdates
 from veilframe.operators import detect, profiler, protocol, risk, textcheck
 from veilframe.operators.vault import Vault
 from veilframe.plans import review
@@ -30,12 +31,31 @@ def draft(spark, folder: str, source: str, tier: str, raw: bool, blind: bool) ->
         key = next((r.column for r in rules if r.entity == "subject" and r.treatment == "surrogate_id"), None)
         domains.append(Domain(name, rules, subject_key=key))
         sure |= {(name, c): (found[c].confidence, found[c].reason) for c in columns}
+    _settle_orders(study, domains)
     first = next((d for d in domains if d.name == "DM"), domains[0])
     names = [r.column for r in first.rules]
     date = next((n for n in ("RFXSTDTC", "RFSTDTC", "TRTSDTC", "RANDDTC") if n in names), names[0])
     return Contract("1", source, tier, Anchor(first.name, first.subject_key or names[0], date), Risk(first.name), domains), sure
 
 
+def _settle_orders(study: dict, domains: list[Domain]) -> None:
+    """Day and month order of written dates; columns that cannot tell borrow what all others agree on."""
+    orders: dict[tuple[str, str], str] = {}
+    for d in domains:
+        columns = [r.column for r in d.rules if r.treatment == "date_shift_raw"]
+        if columns:
+            found = rawdates.infer_order(study[d.name], columns).collect()  # one row per column
+            orders |= {(d.name, r["column_name"]): r["day_order"] for r in found}
+    votes = {o for o in orders.values() if o in ("dmy", "mdy")}
+    for d in domains:
+        for r in d.rules:
+            order = orders.get((d.name, r.column))
+            if order in ("dmy", "mdy"):
+                r.date_order = order
+            elif order == "unknown" and len(votes) == 1:
+                (r.date_order,) = votes
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="veilframe")
     sub = p.add_subparsers(dest="command", required=True)

@@ -19,7 +19,7 @@ from veilframe.operators.detect import DRUG_ENDINGS
 TERM_FORMS: list[tuple[str, str]] = [
     ("study_id", r"(?i)\b(?:protocol|study)\s*(?:no\.?|number|id|code)?\s*[:#]?\s*([A-Z]{2,6}-[0-9A-Z]+(?:-[0-9A-Z]+)+)"),
     ("study_id", r"\b(NCT[0-9]{8}|[0-9]{4}-[0-9]{6}-[0-9]{2})\b"),
-    ("drug", r"(?i)\b([a-z]{3,}(?:" + "|".join(e for e in DRUG_ENDINGS if len(e) > 3) + r"))\b"),
+    ("drug", r"(?i)\b([a-z]{3,}(?:" + "|".join(e for e in DRUG_ENDINGS if len(e) > 3 or e in ("mab", "nib")) + r"))\b"),
     ("drug", r"\b([A-Z]{2,4}-[0-9]{3,6})\b"),
     ("sponsor", r"\b([A-Z][\w&.-]+(?:\s[A-Z][\w&.-]+){0,3}\s(?:Inc|Ltd|GmbH|AG|Pharma|Pharmaceuticals|Biotech|Therapeutics)\b\.?)"),
     ("site", r"\b((?:[A-Z][\w'-]+\s){1,3}(?:Hospital|Clinic|University|Institute|Medical Cent(?:er|re)))"),
