@@ -9,8 +9,8 @@ below its node.  Every entry reachable from any word of the value is returned
 with its cost; the best one covers most letters at least cost, and a value
 whose best entries tie is reported as unmatched rather than guessed.
 
-Spelling variants (ae/oe for e), accents, case and punctuation are folded on
-both sides.  Automaton results are memoised per distinct word, so the work is
+Accents, case and punctuation are folded on both sides; entries with ae or oe
+have an alias path with e.  Automaton results are memoised per distinct word, so the work is
 one trie walk per new word.  The trie of one block of ``BLOCK_ENTRIES`` entries
 is broadcast; a longer list is walked block by block and the best entry wins.
 
@@ -41,12 +41,21 @@ EDIT_WEIGHT = 3
 SOUND_COST, STRAY_COST = 1.5, 0.5
 #: Largest distance of a word that sounds alike (one less for short words and uneven lengths).
 SOUND_EDITS = 4
-#: Score under which an entry is only taken if none fits written without blanks.
-WEAK = 6
+#: Score under which an entry is only taken if none fits written without blanks,
+#: and under which it is not taken at all.
+WEAK, LEAST = 6, -2
+#: Letters a one-word entry needs to be read from words cut apart.
+ALONE = 7
 #: Digits read as letters they resemble.
 LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s"}
 #: Words without meaning of their own inside an entry.
 STOP = frozenset({"of", "the", "in", "on", "and", "a", "an", "at", "to"})
+# Words on the course of a condition; never read as something else.
+QUALIFIERS = frozenset(
+    """limiting limited ongoing resolved resolving mild moderate severe slight worse worsening evening morning night overnight resting
+    home visit grade treated dosing probable possible intermittent recurrent reports subject patient after before since while left
+    right onset history dose post day days again present daughter caregiver informant phone letter""".split()
+)
 WORD = re.compile(r"[a-z0-9]+")
 VOWELS = re.compile(r"[aeiouyw]+")
 #: Spellings that sound alike (English), applied in this order before vowels go.
@@ -81,7 +90,13 @@ def fold(text: str) -> list[str]:
     """Folded words of a value."""
     text = text.lower().replace("ß", "ss").replace("'", "").replace("’", "").replace("æ", "ae").replace("œ", "oe")
     text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-    return [w.replace("ae", "e").replace("oe", "e") for w in WORD.findall(text) if w not in STOP]
+    return [w for w in WORD.findall(text) if w not in STOP]
+
+
+def spellings(words: list[str]) -> list[list[str]]:
+    """The words as listed and with ae and oe written e."""
+    plain = [w.replace("ae", "e").replace("oe", "e") for w in words]
+    return [words] if plain == words else [words, plain]
 
 
 class Trie:
@@ -121,6 +136,15 @@ class Trie:
                 stack += [(child, d, c, new, row) for d, child in node[0].items()]
         return found
 
+    def find(self, word: str) -> int:
+        """Number of a word of the trie, -1 if it is none."""
+        node = self.root
+        for c in word:
+            if c not in node[0]:
+                return -1
+            node = node[0][c]
+        return node[1]
+
     def below(self, prefix: str) -> list[int]:
         """Words properly below the node of ``prefix``."""
         node = self.root
@@ -144,18 +168,22 @@ class Canonical:
         self.letters, self.joined = Trie(), Trie()
         self.root: dict = {}
         self.whole: dict[int, set[int]] = {}
+        self.single: set[int] = set()
         self.memo: dict[str, list[tuple[int, float, int]]] = {}
         acronyms: set[str] = set()
         for entry, name, others in entries:
             for alias in [name, *(others or "").split("|")]:
-                words = fold(alias)
-                if not words:
-                    continue
-                self._add(words, entry)
-                acronyms |= {w for w in words if alias.isupper()}
-                if len(words) > 1:
-                    self.whole.setdefault(self.joined.add("".join(words)), set()).add(entry)
-                    if alias == name:
+                for words in spellings(fold(alias)):
+                    if not words:
+                        continue
+                    self._add(words, entry)
+                    acronyms |= {w for w in words if alias.isupper()}
+                    if len(words) > 1 or len(words[0]) >= ALONE:
+                        number = self.joined.add("".join(words))
+                        self.whole.setdefault(number, set()).add(entry)
+                        if len(words) == 1:
+                            self.single.add(number)
+                    if len(words) > 1 and alias == name:
                         self._add([words[-1], *words[:-1]], entry)
         #: Acronyms are read as written or not at all.
         self.exact = {k for k, w in enumerate(self.letters.words) if w in acronyms}
@@ -176,6 +204,9 @@ class Canonical:
         One edit over the budget is allowed once in an entry of several words.
         """
         known = self.memo.get(word)
+        if known is None and word in QUALIFIERS:
+            exact = self.letters.find(word)
+            known = self.memo[word] = [(exact, 0.0, 0)] if exact >= 0 else []
         if known is None:
             options: dict[int, tuple[float, int]] = {}
             names = self.letters.words
@@ -195,6 +226,9 @@ class Canonical:
                 for w in self.letters.below(word):
                     if w not in options or options[w][0] > SHORT_COST:
                         options[w] = (SHORT_COST, 0)
+            if any(c == 0 for c, _ in options.values()):
+                # A word of the list means itself, not a neighbour.
+                options = {w: (c, o) for w, (c, o) in options.items() if c == 0}
             known = sorted(((w, c, o) for w, (c, o) in options.items()), key=lambda x: x[1])
             if len(self.memo) > 500_000:
                 self.memo.clear()
@@ -228,7 +262,7 @@ class Canonical:
         if not best or max(best.values()) < WEAK:
             for entry, score in self._without_blanks(words).items():
                 best[entry] = max(best.get(entry, -1e9), score)
-        return best
+        return {e: s for e, s in best.items() if s >= LEAST}
 
     def _without_blanks(self, words: list[str]) -> dict[int, float]:
         """Entries written in one, or cut into other words than theirs."""
@@ -238,7 +272,10 @@ class Canonical:
                 text = "".join(words[start:end])
                 if len(text) < 6 or len(text) > 48:
                     continue
+                plain = end == start + 1 or not QUALIFIERS.isdisjoint(words[start:end])
                 for number, cost in self.joined.within(text, joined_budget(len(text))).items():
+                    if plain and number in self.single:
+                        continue
                     for entry in self.whole[number]:
                         score = len(text) - EDIT_WEIGHT * cost
                         best[entry] = max(best.get(entry, -1e9), score)
