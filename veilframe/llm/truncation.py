@@ -13,7 +13,8 @@ what the whole corpus does after the same words:
   fragment that is a proper node of the trie of all words was cut mid-word;
 * length evidence: where unterminated texts of a source pile up at one exact
   length (characters or bytes) that length is a field limit, and an
-  unterminated text of that length is cut even if its tail reads well;
+  unterminated text of that length is cut even if its tail reads well, unless
+  it is a closing form that several texts share;
 * an opened tag, entity or a broken character at the end is a cut.
 
 Signatures, page marks and other closing forms have no continuation anywhere
@@ -34,6 +35,8 @@ from veilframe.session import cut
 
 #: Share of continued occurrences from which an unfinished tail is a cut.
 GOES_ON = 0.9
+#: The same where the text ends in white space: nobody leaves a blank after a closing word.
+GOES_ON_BLANK = 0.5
 #: A length is a field limit of a source when at least this many, and this
 #: share, of its unterminated texts have exactly that length.
 LIMIT_TEXTS, LIMIT_SHARE = 3, 0.1
@@ -70,6 +73,7 @@ def tails(documents: DataFrame, doc_id: str, text: str, source: str) -> DataFram
             (t.rlike(TERMINAL) & ~t.rlike(BROKEN)).alias("terminal"),
             t.rlike(BROKEN).alias("broken"),
             ends_number.alias("ends_number"),
+            t.rlike(r"\s$").alias("blank_end"),
             tok.alias("_tok"),
         )
         .withColumn("fragment", F.try_element_at("_tok", F.lit(-1)))
@@ -164,7 +168,8 @@ def truncated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     n_stop, n_word, n_anywhere = (F.coalesce(c, zero) for c in ("n_stop", "n_word", "n_anywhere"))
     n_on = F.coalesce("n_on", zero) + F.coalesce("n_below", zero)
     letter = F.col("fragment").rlike(r"(?U)^\p{L}+(?:['’]\p{L}*)*$")
-    goes_on = (n_on > 0) & (n_on >= GOES_ON * (n_on + n_stop + F.col("n_ends")))
+    share = F.when(F.col("blank_end"), GOES_ON_BLANK).otherwise(GOES_ON)
+    goes_on = (n_on > 0) & (n_on >= share * (n_on + n_stop + F.col("n_ends")))
     evidence = (
         F.when(F.col("broken"), F.lit("markup"))
         # A number with a point after it may be a sentence end or half a decimal.
@@ -183,7 +188,7 @@ def truncated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
             & (F.col("l.length") == F.when(F.col("l.unit") == "chars", F.col("j.n_chars")).otherwise(F.col("j.n_bytes"))),
             "left_semi",
         )
-        .where(F.col("evidence").isNull() & ~F.col("ends_number"))
+        .where(F.col("evidence").isNull() & ~F.col("ends_number") & ~((n_on * 10 < F.col("n_ends")) & (F.col("n_ends") >= LIMIT_TEXTS)))
         .select("doc_id", "source", F.lit("length").alias("evidence"))
     )
     return judged.where(F.col("evidence").isNotNull()).select("doc_id", "source", "evidence").unionByName(at_limit)
