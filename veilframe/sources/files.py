@@ -6,8 +6,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from veilframe.session import cut  # noqa: F401  (re-exported for operators that stage data)
-
 
 def _fs(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
