@@ -98,3 +98,14 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_redacted, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
+
+_GRAMS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_item WHERE text IS NOT NULL),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 14], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 13)) AS k FROM d)),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 14], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 13)) AS k FROM i)),
+found AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))"""
+SQL["p8_found"] = _GRAMS + " SELECT doc_id, item_id FROM found"
+SQL["p8_items"] = _GRAMS + """
+SELECT e.item_id, e.suite, coalesce(f.n, 0) AS n_docs FROM eval_item e
+LEFT JOIN (SELECT item_id, count(*) AS n FROM found GROUP BY 1) f ON e.item_id = f.item_id"""
