@@ -202,3 +202,39 @@ per AS (SELECT usubjid, i, min(s) AS s, max(e) AS e FROM islands GROUP BY 1, 2),
 nxt AS (SELECT *, lead(s) OVER (PARTITION BY usubjid ORDER BY s) AS n FROM per)
 SELECT usubjid, 'period' AS kind, strftime(s, '%Y-%m-%d') AS start_day, strftime(e, '%Y-%m-%d') AS end_day FROM per
 UNION ALL SELECT usubjid, 'gap', strftime(e + 1, '%Y-%m-%d'), strftime(n - 1, '%Y-%m-%d') FROM nxt WHERE n IS NOT NULL"""
+
+SQL["p7_found"] = r"""
+WITH f AS (SELECT stream_id, file_no, file_id, min(domain_name) AS dom FROM field_rule GROUP BY ALL),
+p AS (SELECT *, lag(file_id) OVER w AS prev, lag(dom) OVER w AS prev_dom FROM f WINDOW w AS (PARTITION BY stream_id ORDER BY file_no)),
+names AS (SELECT DISTINCT file_id, rule_column AS n FROM field_rule WHERE rule_column IS NOT NULL),
+cell AS (
+  SELECT DISTINCT file_id, record_key, k AS n, json_type(v) AS kind, trim(v ->> '$') AS t
+  FROM (SELECT file_id, record_key, k, json_extract(payload, '$."' || k || '"') AS v
+        FROM (SELECT file_id, record_key, payload, unnest(json_keys(payload)) AS k FROM drop_row WHERE payload IS NOT NULL))
+  WHERE json_type(v) <> 'NULL' AND trim(v ->> '$') <> ''),
+val AS (
+  SELECT file_id, record_key, n, CASE WHEN lower(t) IN ('true', 'y', 'yes') THEN 'Y' WHEN lower(t) IN ('false', 'n', 'no') THEN 'N'
+    WHEN regexp_matches(t, '^-?[0-9]+\.[0-9]*$') THEN regexp_replace(t, '\.?0*$', '') ELSE t END AS v FROM cell),
+kinds AS (
+  SELECT file_id, n, CASE WHEN kind = 'VARCHAR' THEN 'text' WHEN kind = 'BOOLEAN' THEN 'boolean' ELSE 'number' END AS kind, count(*) AS c
+  FROM cell GROUP BY ALL),
+major AS (SELECT file_id, n, arg_max(kind, c) AS kind FROM kinds GROUP BY ALL),
+gone AS (SELECT p.file_id, p.prev, a.n FROM p JOIN names a ON a.file_id = p.prev
+         WHERE NOT EXISTS (SELECT 1 FROM names b WHERE b.file_id = p.file_id AND b.n = a.n)),
+fresh AS (SELECT p.file_id, p.prev, a.n FROM p JOIN names a ON a.file_id = p.file_id
+          WHERE p.prev IS NOT NULL AND NOT EXISTS (SELECT 1 FROM names b WHERE b.file_id = p.prev AND b.n = a.n)),
+rec AS (SELECT DISTINCT p.file_id, p.prev, a.record_key FROM p JOIN cell a ON a.file_id = p.file_id JOIN cell b ON b.file_id = p.prev AND b.record_key = a.record_key),
+cmp AS (
+  SELECT g.file_id, g.n AS was, h.n AS now, count(*) FILTER (WHERE a.v IS NOT NULL OR b.v IS NOT NULL) AS filled, count(*) FILTER (WHERE a.v = b.v) AS same
+  FROM gone g JOIN fresh h ON g.file_id = h.file_id JOIN rec r ON r.file_id = g.file_id
+  LEFT JOIN val a ON a.file_id = r.prev AND a.record_key = r.record_key AND a.n = g.n
+  LEFT JOIN val b ON b.file_id = r.file_id AND b.record_key = r.record_key AND b.n = h.n GROUP BY ALL),
+ren AS (SELECT file_id, was, now FROM cmp WHERE same > 0.5 * filled),
+out AS (
+  SELECT file_id, now AS field_name, 'renamed' AS change_type FROM ren
+  UNION ALL SELECT file_id, n, 'added' FROM fresh WHERE NOT EXISTS (SELECT 1 FROM ren WHERE ren.file_id = fresh.file_id AND ren.now = fresh.n)
+  UNION ALL SELECT file_id, n, 'removed' FROM gone WHERE NOT EXISTS (SELECT 1 FROM ren WHERE ren.file_id = gone.file_id AND ren.was = gone.n)
+  UNION ALL SELECT p.file_id, a.n, 'retyped' FROM p JOIN names a ON a.file_id = p.file_id JOIN names b ON b.file_id = p.prev AND a.n = b.n
+    JOIN major x ON x.file_id = p.file_id AND x.n = a.n JOIN major y ON y.file_id = p.prev AND y.n = a.n WHERE x.kind <> y.kind
+  UNION ALL SELECT file_id, dom, 'domain_renamed' FROM p WHERE prev IS NOT NULL AND dom IS DISTINCT FROM prev_dom)
+SELECT p.stream_id, p.file_no, out.field_name, out.change_type FROM out JOIN p USING (file_id)"""
