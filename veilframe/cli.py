@@ -79,7 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     command("textcheck", "table", "column", coded={})
     command("vault", **vault)
     command("reverse", "surrogate", entity={"required": True}, justification={"required": True}, by={"required": True}, **vault)
-    command("protocol", "folder", "terms", apply={"help": "folder for masked text"})
+    command("protocol", "folder", "terms", apply={"help": "folder for masked documents"}, by={"default": ""})
     a = p.parse_args(argv)
 
     if a.command == "keygen":
@@ -138,12 +138,10 @@ def main(argv: list[str] | None = None) -> int:
         if not a.apply:
             protocol.propose(blocks, "path", "text").coalesce(1).write.mode("overwrite").csv(a.terms, header=True)
         else:
-            decided = {r["term"]: r["replacement"] for r in spark.read.csv(a.terms, header=True).collect() if r["replacement"]}  # reviewed by hand
-            masked = protocol.mask(blocks, "text", decided)
-            masked.write.mode("overwrite").parquet(a.apply)
-            left = protocol.residual(spark.read.parquet(a.apply), "text", list(decided))
-            files.write_text(spark, f"{a.apply}_manifest.json", json.dumps({"terms": len(decided), "residual": left}))
-            return int(left > 0)
+            decided = {r["term"]: r["replacement"] for r in spark.read.csv(a.terms, header=True).collect()}  # reviewed by hand
+            done = protocol.apply_terms(spark, a.folder, decided, a.by, a.apply)
+            files.write_text(spark, f"{a.apply}_manifest.json", json.dumps(done))
+            return int(done["residual"] > 0)
     return 0
 
 

@@ -1,10 +1,10 @@
 """Overlapping and gapped integer intervals (problem 6).
 
 Closed intervals of days are cut into canonical dyadic blocks (level, index):
-at most two per level, so about 2 log2(length) rows each.  Blocks are counted
-distinct with map-side combine before the only shuffle, which folds repeated
-and nested intervals early; the blocks of one entity are bounded by the
-calendar, however many rows a hot entity has.  Each partition then streams its
+at most two per level, so about 2 log2(length) rows each.  Blocks are made
+distinct per (entity, block) with map-side combine, which spreads a hot entity
+over its blocks; only then do the blocks of an entity meet, and their number is
+bounded by the calendar, however many rows the entity has.  Each partition then streams its
 entities in order and, vectorised over whole batches, drops blocks covered by
 an ancestor, merges sibling pairs upward, coalesces adjacent blocks into
 periods and lists the gaps between them.

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.functions.naming import name_tokens
 from veilframe.functions.numbers import NUMBER
 from veilframe.functions.text import shape_space
 from veilframe.operators.quality import is_written_day
@@ -41,6 +42,7 @@ def column_profiles(df: DataFrame, columns: list[str]) -> DataFrame:
         F.round(rate(v.rlike(r"^\s*[0-9]{4}(-[0-9]{2}(-[0-9]{2}([T ].*)?)?)?\s*$")), 6).alias("iso_rate"),
         F.round(rate(is_written_day(v)), 6).alias("raw_date_rate"),
         F.round(rate(v.contains(" ")), 6).alias("blank_rate"),
+        F.round(rate(v.rlike(r"^\s*[0-2]?[0-9]:[0-5][0-9](:[0-5][0-9])?\s*$")), 6).alias("time_rate"),
         F.coalesce(F.bool_and(F.when(filled, whole)), F.lit(False)).alias("all_whole"),
         F.max(F.when(whole, F.length(F.trim(v)))).alias("max_digits"),
         F.coalesce(F.bool_and(F.when(filled, whole & number.between(1900, 2100))), F.lit(False)).alias("all_years"),
@@ -62,6 +64,10 @@ DIRECT = frozenset(
     PATIENTNAME PT_NAME FAX""".split()
 )
 QUASI = frozenset("SEX SEX_CD RACE RACE_TXT ETHNIC ETHNIC_TXT COUNTRY COUNTRY_CD AGEGR AGEGR1".split())
+ROLES = frozenset("INVESTIGATOR PI MONITOR NURSE PHYSICIAN DOCTOR COORDINATOR ASSESSOR REVIEWER 研究者 医生 护士".split())
+EDC_USER = frozenset("USERID USER_ID CREATEDBY MODIFIEDBY ENTEREDBY LASTUSER USERNAME".split())
+STRUCTURE = frozenset("PROJECTID PAGEREPEATNUMBER RECORDPOSITION INSTANCEREPEATNUMBER DATAPAGEID FOLDERSEQ RECORDID INSTANCENAME DATAPAGENAME FOLDER FOLDERNAME".split())
+AUDIT = re.compile(r"(CREATED|MODIFIED|UPDATED|SAVETS|ENTRY|MINCREATED|MAXUPDATED|LASTMOD)(_?(DT|DATE|TS|AT|TIME|DTC))?$")
 DESIGN = frozenset("VISITNUM VISIT VISITDY EPOCH VISIT_NO CYCLE_NO".split())
 
 
@@ -83,8 +89,13 @@ def propose(columns: dict[str, dict], tier: str = "deidentified", raw: bool = Fa
         up = name.upper()
         squeezed = re.sub(r"_(RAW|INT|STD|DEC|FUL)$", "", up) if raw else up
         say = lambda t, c, why, e=None, **kw: Proposal(name, t, c, why, e, kw or None)
+        words = set(name_tokens(name))
         if up == "DOMAIN":
             return say("retain", "high", "table code")
+        if squeezed.endswith(("FREQ", "FRQ", "INDC")):
+            return say("retain", "high", "regimen or indication")
+        if raw and squeezed.startswith("DRUG") and p["numeric_rate"] < 0.5 and p["raw_date_rate"] < 0.5:
+            return say("label_map", "medium", "study product", "treatment_product", prefix="DRUG")
         if squeezed in ("STUDYID", "STUDY", "PROTOCOL", "PROJECT"):
             return say("surrogate_id", "high", "study number", "studyid")
         if squeezed in ("USUBJID", "SUBJECT", "SUBJECT_NUMBER", "SUBJECT_KEY", "PATNO", "PT"):
@@ -93,6 +104,19 @@ def propose(columns: dict[str, dict], tier: str = "deidentified", raw: bool = Fa
             return say("drop", "high", "beside the subject key") if "USUBJID" in names else say("surrogate_id", "high", "subject key", "subject")
         if squeezed in ("SITEID", "SITE", "SITENUMBER", "SITE_NO"):
             return say("surrogate_id", "high", "site", "site")
+        if words & {"SITE", "CENTRE", "CENTER"} and words & {"NAME", "NM"}:
+            code_beside = any("SITE" in n and "NAME" not in n for n in names)
+            return say("drop", "high", "site code is present") if code_beside else say("surrogate_id", "medium", "site name", "site")
+        if squeezed in EDC_USER:
+            return say("drop", "high", "who keyed the record")
+        if words & ROLES and words & {"NAME", "SIGNATURE", "SIGN", "INITIALS"}:
+            return say("drop", "high", "staff name")
+        if AUDIT.search(squeezed):
+            return say("drop", "high", "audit time")
+        if raw and up.endswith("_INT") and p["numeric_rate"] > 0.9 and any(n != up and n.startswith(up[:-4]) for n in names):
+            return say("drop", "high", "number behind a date")
+        if re.search(r"(YY|MM|DD|MO|D|Y|YYYY)$", squeezed) and any(n != squeezed and n == re.sub(r"(YYYY|YY|MM|DD|MO|D|Y)$", "DAT", squeezed) for n in names):
+            return say("drop", "medium", "piece of a date that is present")
         if squeezed in DIRECT:
             return say("drop", "high", "direct identifier")
         if re.search(r"ZIP|POSTCODE", squeezed):
@@ -103,6 +127,12 @@ def propose(columns: dict[str, dict], tier: str = "deidentified", raw: bool = Fa
             return say("cap_numeric", "high", "age", cap=90)
         if blind and re.search(r"^(ARM|ARMCD|ACTARM|TREATMENT|EXTRT|STUDY_DRUG)$", squeezed):
             return say("label_map", "high", "treatment under blinding", "treatment", prefix="ARM")
+        if blind and re.search(r"^EX(DOSE|DOSTOT|DOSU|DOSFRM|DOSFRQ|DOSRGM)$", squeezed):
+            return say("retain", "low", "dose may tell the arm")
+        if squeezed.endswith(("TM", "TIM", "TIME")) or p["time_rate"] >= 0.8:
+            return say("retain", "medium", "time of day")
+        if squeezed in STRUCTURE:
+            return say("retain", "high", "form structure")
         if squeezed in QUASI:
             return say("pool_rare", "medium", "demographic", min_count=5)
         if squeezed.endswith("DY") or squeezed in DESIGN:

@@ -57,6 +57,21 @@ def mirror_columns(df: DataFrame, anchor: DataFrame, subject: str, pairs: list[t
     return row.select(rows.alias("_m")).select("_m.*")
 
 
+def self_anchor(df: DataFrame, subject: str, date: str, row_id: str) -> DataFrame:
+    """(subject, anchor) from a table that is its own reference: the first row of a subject."""
+    return df.where(F.col(subject).isNotNull()).groupBy(F.col(subject).cast("string").alias("subject")).agg(
+        F.min_by(F.struct(F.col(date).alias("d")), F.col(row_id))["d"].alias("anchor")
+    )
+
+
+def report(before: DataFrame, after: DataFrame, subject: str, references: DataFrame) -> DataFrame:
+    """Counts only: rows, subjects before and after, subjects without a reference date."""
+    anchored = references.where(F.col("anchor").isNotNull()).select(F.col("subject").alias(subject))
+    lost = before.select(F.col(subject).cast("string").alias(subject)).distinct().join(anchored, subject, "left_anti")
+    counts = before.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(subject).alias("n_donors"))
+    return counts.withColumns({"n_recipients": F.lit(after.select(subject).distinct().count()), "n_unanchored": F.lit(lost.count())})
+
+
 def by_subject(
     df: DataFrame, subject: str, dates: list[str], references: DataFrame, vault: Vault, group: str = "all"
 ) -> DataFrame:

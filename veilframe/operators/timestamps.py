@@ -39,6 +39,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.session import cut
+
 OFF_ORDER, SWITCH, BACKWARD = 100.0, 1.0, 1.0
 #: Record numbers in a block; also the most rows of a source in one task.
 BLOCK = 65_536
@@ -346,7 +348,8 @@ def normalise(tracks: DataFrame, sources: DataFrame, block: int = BLOCK) -> Data
     placed = tracks.join(F.broadcast(sources) if small else sources, "source", "left").withColumn(
         "source", F.coalesce("source", F.lit(""))
     )
-    options = interpretations(placed.withColumn("block", F.expr(f"rec_id div {block}")))
+    # Parsed once: the summaries, the decoding and the invalid values all read it.
+    options = cut(interpretations(placed.withColumn("block", F.expr(f"rec_id div {block}"))).drop("value", "zone_name"))
     invalid = options.where(F.size("options") == 0).select("track", "rec_id", F.lit("INVALID").alias("norm_value"))
     valid = options.where(F.size("options") > 0).select("track", "source", "block", "rec_id", "date_order", "options")
     summary = valid.groupBy("track", "source", "block").applyInPandas(

@@ -328,6 +328,31 @@ class Vault:
         opened = F.decode(F.aes_decrypt(F.col("recipient"), F.col("_key"), F.lit("GCM")), "UTF-8")
         return pairs.select("donor", opened.alias("recipient"))
 
+    def labelled(self, entity: str) -> DataFrame:
+        """(original, label) of a treatment namespace; these name no person, so nothing is logged."""
+        if not entity.startswith("treatment"):
+            raise VaultError("only treatment labels are open")
+        opened = F.decode(F.aes_decrypt(F.col("original"), F.col("_key"), F.lit("GCM")), "UTF-8")
+        return self.keyed(self.read("surrogate").where(F.col("entity") == entity)).select(opened.alias("original"), F.col("surrogate").alias("label"))
+
+    def settle_unanchored(self, group: str, subjects: DataFrame, references: DataFrame) -> int:
+        """Pins a shift of 0 for subjects of a group without a reference date; returns how many."""
+        lost = subjects.toDF("donor").where(F.col("donor").isNotNull()).distinct().join(
+            references.where(F.col("anchor").isNotNull()).select(F.col("subject").alias("donor")), "donor", "left_anti"
+        )
+        rows = self._stage(self.with_lookup(lost, "donor", f"reassign:{group}", "donor_lookup"))
+        known = self.read("reassignment").where((F.col("grp") == f"{group}:unanchored"))
+        new = self._stage(rows.join(known, "donor_lookup", "left_anti"))
+        n = new.count()
+        if n:
+            self.append("reassignment", new.select(F.lit(f"{group}:unanchored").alias("grp"), "donor_lookup", F.lit(None).cast("binary").alias("recipient"), F.lit(0).alias("delta")))
+        return n
+
+    def is_unanchored(self, group: str, subjects: DataFrame) -> DataFrame:
+        """Subjects whose shift is pinned to 0."""
+        asked = self.with_lookup(subjects.toDF("donor").distinct(), "donor", f"reassign:{group}", "donor_lookup")
+        return asked.join(self.read("reassignment").where(F.col("grp") == f"{group}:unanchored"), "donor_lookup", "left_semi").select("donor")
+
     # --- logged ways back -----------------------------------------------------
 
     def reverse(self, surrogates: list[str], entity: str, who: str, justification: str) -> DataFrame:

@@ -201,6 +201,7 @@ class Pipeline:
                 relabelled = [r.published for r in d.rules if r.treatment == "label_map"]
                 leaks += [r.asDict() for r in blinding.audit(tables[d.name], terms, d.name, ROW, relabelled).collect()]  # per term and column
         manifest = self._manifest(measured, leaks, queue, notes)
+        manifest["unconverted_dates"] = {d.name: unconverted_dates(contract, d, study[d.name], tables[d.name]) for d in contract.domains if d.name in tables}
         return Published(tables, queue, measured, leaks, manifest, notes)
 
     def _reassigned(self, d: Domain, df: DataFrame, anchor: DataFrame | None) -> DataFrame:
@@ -239,6 +240,16 @@ class Pipeline:
         }
 
 
+def unconverted_dates(contract: Contract, domain: Domain, source: DataFrame, out: DataFrame) -> dict[str, int]:
+    """Dates that had a value and lost it, per published column; one aggregate each side."""
+    rules = [r for r in domain.rules if r.treatment in ("date_to_study_day", "partial_date_to_year_offset", "date_shift", "date_shift_raw")]
+    if not rules:
+        return {}
+    had = source.agg(*[F.count(r.column).alias(r.published) for r in rules]).first().asDict()
+    has = out.agg(*[F.count(r.published).alias(r.published) for r in rules]).first().asDict()
+    return {n: had[n] - has[n] for n in had if had[n] > has[n]}
+
+
 def observed(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, Observation]:
     """Counters filled while the table is written, without a job of their own."""
     seen = Observation(name)

@@ -733,3 +733,18 @@ def protocol_mask_residual(spark, d):
 @query()
 def protocol_terms(spark, d):
     return protocol.propose(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query(f"""
+SELECT CASE WHEN NOT regexp_matches(exit_dt, '{_DMON}') THEN 'other' WHEN try_strptime(exit_dt, '%d-%b-%Y') IS NULL THEN 'unparsed' ELSE 'shifted' END AS status,
+  count(*) AS n FROM demog WHERE regexp_matches(exit_dt, '{_DMON}') GROUP BY 1""")
+def raw_shift_report(spark, d):
+    """How many written dates were moved, and how many could not be read."""
+    rows = table(spark, d, "demog").where(F.col("exit_dt").rlike(_DMON))
+    moved = rawdates.shift_written(F.col("exit_dt"), F.lit(200), "dmy")
+    return rows.groupBy(moved["status"].alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT usubjid AS subject, arg_min(struct_pack(d := aestdtc), rec_id).d AS anchor FROM ae WHERE usubjid IS NOT NULL GROUP BY 1")
+def reassign_self_anchor(spark, d):
+    return reassign.self_anchor(table(spark, d, "ae"), "usubjid", "aestdtc", "rec_id")

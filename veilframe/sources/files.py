@@ -36,15 +36,19 @@ def listing(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return sorted((s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(at)) if fs.exists(at) else []
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     fs, at = _fs(spark, path)
     out = fs.create(at, True)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(content))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, at = _fs(spark, path)
     stream = fs.open(at)
