@@ -38,8 +38,8 @@ def smallest(groups: DataFrame, n: int = 10) -> DataFrame:
     # Only sizes small enough can rank: the n-th smallest size is found first.
     sizes = groups.groupBy("size").agg(F.count(F.lit(1)).alias("_c"))
     ranked = sizes.withColumn("_before", F.coalesce(F.sum("_c").over(W.orderBy("size").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    cut_at = ranked.where(F.col("_before") < n).agg(F.max("size").alias("_cut"))
-    return groups.join(F.broadcast(cut_at), F.col("size") <= F.col("_cut")).drop("_cut")  # one row
+    cut_at = ranked.where(F.col("_before") < n).agg(F.max("size")).first()[0]
+    return groups.where(F.col("size") <= (0 if cut_at is None else cut_at))
 
 
 def leave_one_out(groups: DataFrame, quasi: list[str]) -> DataFrame:
