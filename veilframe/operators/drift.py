@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veilframe.session import cut
+
 #: Share of records in both files that must agree for a rename.
 RENAME_OVERLAP = 0.5
 SCRIPT = "array<struct<change_type:string,field_name:string,old_name:string>>"
@@ -249,8 +251,8 @@ def schemas(declared: DataFrame, cell: DataFrame) -> DataFrame:
 
 def edit_scripts(rules: DataFrame, rows: DataFrame) -> DataFrame:
     """(stream_id, file_no, file_id, change_type, field_name, old_name)."""
-    pairs = files(rules)
-    cell = cells(rows)
+    # Both are read by every branch below; the cells are parsed once.
+    pairs, cell = cut(files(rules)), cut(cells(rows))
     schema = schemas(rules, cell)
     share = (
         overlaps(pairs, rules, cell)
