@@ -189,7 +189,7 @@ def test_pivot_keeps_mass_and_expectation():
     for seed in range(4000):
         pivot, copies = mixing.Pivot(0, seed), {}
         for doc, (tokens, p) in enumerate([(10, 0.5), (20, 0.25), (10, 0.5)]):
-            copies |= dict(pivot.meet(doc, tokens, p))
+            copies |= {d: extra for d, extra, _ in pivot.meet(doc, tokens, p)}
         if pivot.open:
             copies[pivot.open[0]] = int(mixing.uniform(pivot.open[0], 99, seed) < pivot.open[2])
         for k in range(3):

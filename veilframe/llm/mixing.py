@@ -78,10 +78,10 @@ class Pivot:
         self.level, self.seed = level, seed
         self.open: list | None = None  # [doc_id, tokens, fraction]
 
-    def meet(self, doc_id: int, tokens: int, fraction: float) -> list[tuple[int, int]]:
-        """Documents settled by this arrival: (doc_id, extra copy)."""
+    def meet(self, doc_id: int, tokens: int, fraction: float) -> list[tuple[int, int, int]]:
+        """Documents settled by this arrival: (doc_id, extra copy, tokens)."""
         if fraction <= EDGE or fraction >= 1 - EDGE:
-            return [(doc_id, int(fraction > 0.5))]
+            return [(doc_id, int(fraction > 0.5), tokens)]
         if self.open is None:
             self.open = [doc_id, tokens, fraction]
             return []
@@ -95,7 +95,7 @@ class Pivot:
         self.open = None
         for other, size, f in ((a_id, a, p), (b_id, b, q)):
             if f <= EDGE or f >= 1 - EDGE:
-                done.append((other, int(f > 0.5)))
+                done.append((other, int(f > 0.5), size))
             else:
                 self.open = [other, size, f]
         return done
@@ -110,7 +110,7 @@ def _rounds(level: int, seed: int):
             rows = []
             for source, doc_id, tokens, fraction in zip(batch["source"], batch["doc_id"], batch["n_tokens"], batch["fraction"]):
                 pivot = pivots.setdefault(source, Pivot(level, seed))
-                rows += [(source, d, extra, None, None) for d, extra in pivot.meet(doc_id, tokens, fraction)]
+                rows += [(source, d, extra, n, None) for d, extra, n in pivot.meet(doc_id, tokens, fraction)]
             yield pd.DataFrame(rows, columns=["source", "doc_id", "extra", "n_tokens", "fraction"])
         left = [(s, p.open[0], None, p.open[1], p.open[2]) for s, p in pivots.items() if p.open]
         yield pd.DataFrame(left, columns=["source", "doc_id", "extra", "n_tokens", "fraction"])
@@ -153,8 +153,8 @@ def mix(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text:
     rates = F.broadcast(rates) if n_targets <= 10_000 else rates
     wanted = counts.where(F.col("n_tokens") > 0).join(rates, "source").where(F.col("expected") > 0)
     whole = F.floor("expected").cast("int")
-    sized = wanted.select("source", "doc_id", "n_tokens", whole.alias("whole"), (F.col("expected") - whole).alias("fraction"))
-    rounded = cut(sized.select("source", "doc_id", "n_tokens", "fraction").mapInPandas(_rounds(0, seed), ROUNDED))
+    sized = wanted.select("source", "doc_id", "n_tokens", (F.col("expected") - whole).alias("fraction"))
+    rounded = cut(sized.mapInPandas(_rounds(0, seed), ROUNDED))
     settled, level = [rounded.where(F.col("extra").isNotNull())], 1
     left = rounded.where(F.col("extra").isNull())
     while (n_left := left.count()) > n_targets:
@@ -174,9 +174,10 @@ def mix(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text:
     extras = left.mapInPandas(last, ROUNDED)
     for part in settled:
         extras = extras.unionByName(part)
+    # The whole part is the same for all documents of a source.
     drawn = (
-        sized.join(extras.select("doc_id", "extra"), "doc_id")
-        .select("source", "doc_id", "n_tokens", (F.col("whole") + F.col("extra")).alias("copies"))
+        extras.join(rates, "source")
+        .select("source", "doc_id", "n_tokens", (whole + F.col("extra")).alias("copies"))
         .where(F.col("copies") > 0)
     )
     return drawn, planned
