@@ -178,7 +178,10 @@ def truncated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .when(letter & (n_on + n_stop == 0) & (n_word * RARE_WORD < n_anywhere), F.lit("word"))
         .when(F.col("fragment").isin(",", ":", "(", "/", "="), F.lit("sentence"))
     )
-    judged = judged.withColumn("evidence", evidence)
+    closing = (n_on * 10 < F.col("n_ends")) & (F.col("n_ends") >= LIMIT_TEXTS)
+    judged = cut(
+        judged.select("doc_id", "source", "n_chars", "n_bytes", "hash", "ends_number", evidence.alias("evidence"), closing.alias("closing"))
+    )
     limit = cut(limits(judged.where(F.col("evidence").isNotNull() & ~F.col("ends_number"))))
     at_limit = (
         judged.alias("j")
@@ -188,7 +191,7 @@ def truncated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
             & (F.col("l.length") == F.when(F.col("l.unit") == "chars", F.col("j.n_chars")).otherwise(F.col("j.n_bytes"))),
             "left_semi",
         )
-        .where(F.col("evidence").isNull() & ~F.col("ends_number") & ~((n_on * 10 < F.col("n_ends")) & (F.col("n_ends") >= LIMIT_TEXTS)))
+        .where(F.col("evidence").isNull() & ~F.col("ends_number") & ~F.coalesce("closing", F.lit(False)))
         .select("doc_id", "source", F.lit("length").alias("evidence"))
     )
     return judged.where(F.col("evidence").isNotNull()).select("doc_id", "source", "evidence").unionByName(at_limit)
