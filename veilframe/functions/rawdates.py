@@ -151,7 +151,8 @@ def shift_written(value: Column, days: Column, order: str | None) -> Column:
         for values, offsets in batches:
             yield _shifted(values, offsets, order)
 
-    return F.pandas_udf(udf, WRITTEN)(value, days)
+    # Marked so that a filter on the status is not pushed below and the dates read twice.
+    return F.pandas_udf(udf, WRITTEN).asNondeterministic()(value, days)
 
 
 def finish(value: Column, shifted: Column, on_unparsed: str) -> Column:

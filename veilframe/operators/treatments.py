@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veilframe.operators.ordering import dense_index
+
 #: Values of a column that may be broadcast as a lookup.
 SMALL_VALUES = 100_000
 
@@ -37,10 +38,8 @@ def pool_rare(df: DataFrame, column: str, min_count: int, pooled: str = "OTHER")
 def numbered_stand_ins(df: DataFrame, column: str, row_id: str, prefix: str) -> DataFrame:
     """Distinct values numbered in order of first appearance: ``PREFIX-000001``."""
     first = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.min(row_id).alias("_first"))
-    # Values are ranked by their first row; ranks need one order over distinct values.
-    ranked = first.select(
-        F.col(column).alias("_value"),
-        F.format_string(f"{prefix}-%06d", F.row_number().over(W.orderBy("_first"))).alias("_stand_in"),
+    ranked = dense_index(first, "_first").select(
+        F.col(column).alias("_value"), F.format_string(f"{prefix}-%06d", F.col("_i") + 1).alias("_stand_in")
     )
     return df.join(lookup(ranked), F.col(column) == F.col("_value"), "left").withColumn(column, F.col("_stand_in")).drop("_value", "_stand_in")
 
