@@ -1,6 +1,7 @@
 """Names, fixtures, raw and SDTM pairs, vault extras and protocol files."""
 
 import io
+import struct
 import zipfile
 
 import pytest
@@ -10,7 +11,7 @@ from veilframe.functions import dates, rawdates
 from veilframe.functions.naming import domain_code, move_group, name_tokens
 from veilframe.operators import profiler, protocol, reassign
 from veilframe.operators.vault import Vault, VaultError
-from veilframe.sources import fixtures
+from veilframe.sources import fixtures, study_io
 
 
 @pytest.mark.parametrize(("name", "code"), [("ae", "AE"), ("EDC_MH_RAWDATA_US", "MH"), ("AE_MH_both", None), ("Demog", "DM"), ("labs", None)])
@@ -92,3 +93,39 @@ def test_protocol_files_are_masked(spark, tmp_path):
     assert protocol.docx_text(content) == ["Drug DRUG A (DA) daily", "nothing"] and b"Jane Roe" not in content
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         assert book.read("word/media/logo.png") == b""
+
+
+def _ibm(value: float | None) -> bytes:
+    if value is None:
+        return b"." + b"\0" * 7
+    if value == 0:
+        return b"\0" * 8
+    sign, value, e = (0x80 if value < 0 else 0), abs(value), 64
+    while value >= 1:
+        value, e = value / 16, e + 1
+    while value < 1 / 16:
+        value, e = value * 16, e - 1
+    return bytes([sign | e]) + int(value * 2**56).to_bytes(7, "big")
+
+
+def _xport(names, rows) -> bytes:
+    def head(kind: str, tail: str) -> bytes:
+        return f"HEADER RECORD*******{kind:8}HEADER RECORD!!!!!!!{tail}".ljust(80).encode()
+
+    out = head("LIBRARY", "0" * 30) + b" " * 160 + head("MEMBER", "0" * 17 + "1600000000140") + head("DSCRPTR", "0" * 30)
+    out += (b"SAS     " + b"AE      ").ljust(80) + b" " * 80 + head("NAMESTR", f"000000{len(names):04d}" + "0" * 20)
+    body, at = b"", 0
+    for name, is_number, length in names:
+        body += (struct.pack(">hhhh", 1 if is_number else 2, 0, length, 1) + name.ljust(8).encode()).ljust(84) + struct.pack(">l", at) + b"\0" * 52
+        at += length
+    out += body.ljust(-(-len(body) // 80) * 80) + head("OBS", "0" * 30)
+    data = b"".join(b"".join(_ibm(v) if n[1] else (v or "").ljust(n[2]).encode() for n, v in zip(names, row)) for row in rows)
+    return out + data.ljust(-(-len(data) // 80) * 80)
+
+
+def test_transport_files(spark, tmp_path):
+    rows = [("S1", 1.0, "Headache"), ("S2", -118.625, None), ("S3", None, "x"), ("S4", 0.1, "y"), ("S5", 0.0, "z")]
+    (tmp_path / "ae.xpt").write_bytes(_xport([("SUBJ", False, 6), ("N", True, 8), ("TERM", False, 10)], rows))
+    study = study_io.load_study(spark, str(tmp_path))
+    got = [tuple(r) for r in study["AE"].orderBy("_row_id").drop("_row_id").collect()]
+    assert [(a, round(b, 12) if b is not None else None, c) for a, b, c in got] == rows

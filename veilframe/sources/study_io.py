@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veilframe.functions.text import na_to_null
 from veilframe.session import cut
-from veilframe.sources import files, workbook
+from veilframe.sources import files, workbook, xport
 
 # Readable suffixes and stems that are no tables.
 SUFFIXES = (".csv", ".txt", ".tsv", ".parquet", ".pq", ".xlsx", ".xlsm", ".xpt", ".sas7bdat")
@@ -67,20 +67,21 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(base)
     if suffix in (".xlsx", ".xlsm"):
         return workbook.midnight_fix(workbook.read(spark, base, sheet or None))
-    if suffix in (".xpt", ".sas7bdat"):
-        return _sas(spark, base, suffix)
+    if suffix == ".xpt":
+        return xport.read(spark, base)
+    if suffix == ".sas7bdat":
+        return _sas(spark, base)
     sep = "\t" if suffix == ".tsv" else ","
     df = spark.read.csv(base, header=True, sep=sep, inferSchema=False, multiLine=True, quote='"', escape='"', nullValue="", mode="FAILFAST")
     return df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def _sas(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+def _sas(spark: SparkSession, path: str) -> DataFrame:
     try:
         import pyreadstat
     except ImportError as missing:
-        raise NotImplementedError("SAS files need pyreadstat") from missing
-    frame, _ = (pyreadstat.read_xport if suffix == ".xpt" else pyreadstat.read_sas7bdat)(path)
-    return spark.createDataFrame(frame)
+        raise NotImplementedError("sas7bdat files need pyreadstat") from missing
+    return spark.createDataFrame(pyreadstat.read_sas7bdat(path)[0])
 
 
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
