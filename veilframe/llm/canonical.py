@@ -116,24 +116,37 @@ class Trie:
         return node[1]
 
     def within(self, query: str, most: int) -> dict[int, float]:
-        """Words whose alignment distance to ``query`` is at most ``most``."""
-        n, found = len(query), {}
-        first = list(range(n + 1))
-        stack = [(child, c, "", first, None) for c, child in self.root[0].items()]
+        """Words whose alignment distance to ``query`` is at most ``most``.
+
+        Only the band of states within ``most`` of the diagonal is kept.
+        """
+        n, found, far = len(query), {}, most + 1
+        alike = [LOOKS_LIKE.get(q, "") for q in query]
+        first = [min(i, far) for i in range(n + 1)]
+        stack = [(child, c, "", first, None, 1, 0) for c, child in self.root[0].items()]
         while stack:
-            node, c, before, row, above = stack.pop()
-            new = [row[0] + 1]
-            for i in range(1, n + 1):
+            node, c, before, row, above, depth, row_least = stack.pop()
+            low, high = max(1, depth - most), min(n, depth + most)
+            new = [far] * (n + 1)
+            least = new[0] = min(depth, far)
+            for i in range(low, high + 1):
                 q = query[i - 1]
-                same = q == c or c in LOOKS_LIKE.get(q, "")
-                cost = min(new[i - 1] + 1, row[i] + 1, row[i - 1] + (not same))
-                if above is not None and i > 1 and q == before and query[i - 2] == c:
-                    cost = min(cost, above[i - 2] + 1)
-                new.append(cost)
+                cost = row[i - 1] if q == c or c in alike[i - 1] else row[i - 1] + 1
+                if row[i] < cost:
+                    cost = min(cost, row[i] + 1)
+                if new[i - 1] < cost:
+                    cost = min(cost, new[i - 1] + 1)
+                if above is not None and i > 1 and q == before and query[i - 2] == c and above[i - 2] + 1 < cost:
+                    cost = above[i - 2] + 1
+                if cost < far:
+                    new[i] = cost
+                    if cost < least:
+                        least = cost
             if node[1] >= 0 and new[n] <= most:
                 found[node[1]] = float(new[n])
-            if min(new) <= most or min(row) <= most - 1:
-                stack += [(child, d, c, new, row) for d, child in node[0].items()]
+            # The row above still counts for one step, through a swapped pair.
+            if least <= most or row_least < most:
+                stack += [(child, d, c, new, row, depth + 1, least) for d, child in node[0].items()]
         return found
 
     def find(self, word: str) -> int:
@@ -169,6 +182,7 @@ class Canonical:
         self.root: dict = {}
         self.whole: dict[int, set[int]] = {}
         self.single: set[int] = set()
+        self.near: dict[str, dict[int, float]] = {}
         self.memo: dict[str, list[tuple[int, float, int]]] = {}
         acronyms: set[str] = set()
         for entry, name, others in entries:
@@ -273,7 +287,12 @@ class Canonical:
                 if len(text) < 6 or len(text) > 48:
                     continue
                 plain = end == start + 1 or not QUALIFIERS.isdisjoint(words[start:end])
-                for number, cost in self.joined.within(text, joined_budget(len(text))).items():
+                near = self.near.get(text)
+                if near is None:
+                    if len(self.near) > 200_000:
+                        self.near.clear()
+                    near = self.near[text] = self.joined.within(text, joined_budget(len(text)))
+                for number, cost in near.items():
                     if plain and number in self.single:
                         continue
                     for entry in self.whole[number]:
