@@ -40,8 +40,8 @@ TRAINING_TEXTS = 14000
 BUCKETS, ROLES, EPOCHS = 1 << 15, 6, 9
 #: Role of a neighbour and its distance.
 LAGS = ((1, -1), (2, 1), (3, -2), (4, 2), (5, -3))
-#: Iterations of message passing on documents with skip edges.
-SWEEPS = 8
+#: Least iterations of message passing on documents with skip edges (fewer once settled).
+SWEEPS = 40
 
 TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+|[^\w\s]|_")
 
@@ -220,7 +220,7 @@ def message_passing(unary: np.ndarray, edges: list[tuple[int, int]], field: Fiel
     )
     reverse = np.concatenate([np.arange(c, 2 * c), np.arange(c), np.arange(2 * c + s, 2 * c + 2 * s), np.arange(2 * c, 2 * c + s)])
     sent = np.zeros((len(source), k))
-    for _ in range(max(SWEEPS, 2 * min(n, 16))):
+    for _ in range(SWEEPS + 2 * min(n, 64)):
         belief = unary.copy()
         np.add.at(belief, target, sent)
         into = belief[source] - sent[reverse]
@@ -228,7 +228,7 @@ def message_passing(unary: np.ndarray, edges: list[tuple[int, int]], field: Fiel
         new -= new.max(1, keepdims=True)
         if np.abs(new - sent).max(initial=0) < 1e-6:
             break
-        sent = 0.5 * sent + 0.5 * new
+        sent = 0.3 * sent + 0.7 * new  # damped, so that loops settle
     belief = unary.copy()
     np.add.at(belief, target, sent)
     return belief.argmax(1)
