@@ -417,7 +417,8 @@ def dummy_column(vault: Vault, df: DataFrame, column: str) -> DataFrame:
     core = F.regexp_replace(F.col(column).cast("string"), r"^\s+|\s+$", "")
     # Where upper case changes the length (a sharp s), the text is keyed as written.
     key = F.when(F.length(F.upper(core)) == F.length(core), F.upper(core)).otherwise(core)
-    own = df.withColumn("_core", core).withColumn("_key_text", F.when(F.col("_core") != "", key))
+    # A text without letters and digits ("--") has only its shape and stays as it is.
+    own = df.withColumn("_core", core).withColumn("_key_text", F.when(F.col("_core").rlike(r"[\p{L}\p{Nd}]"), key))
     pairs = vault.text_dummies(own.select("_key_text"))
     joined = own.join(lookup(pairs), F.col("_key_text") == F.col("value"), "left")
     lead = F.regexp_extract(F.col(column), r"^(\s*)", 1)

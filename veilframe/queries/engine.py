@@ -224,6 +224,24 @@ def text_keys(spark, d):
     return rows.select("rec_id", text.normal(F.col("mhterm")).alias("norm"), text.term_key(F.col("mhterm")).alias("term_key"))
 
 
+# The SQL of four queries covers a slice of the rows; the ones named _all run over every row.
+
+_NA = ", ".join(f"'{c}'" for c in text.NA_CELLS)
+
+
+@query(f"SELECT rec_id, CASE WHEN lborresu NOT IN ({_NA}) THEN lborresu END AS unit, length(coalesce(lborres, '')) AS n FROM lb")
+def na_cells_all(spark, d):
+    n = F.length(F.coalesce("lborres", F.lit(""))).cast("bigint")
+    return table(spark, d, "lb").select("rec_id", text.na_to_null(F.col("lborresu")).alias("unit"), n.alias("n"))
+
+
+@query("""
+SELECT rec_id, trim(regexp_replace(lower(mhterm), '[^a-z0-9]+', ' ', 'g')) AS norm, lower(trim(regexp_replace(mhterm, '\\s+', ' ', 'g'))) AS term_key
+FROM mh""")
+def text_keys_all(spark, d):
+    return table(spark, d, "mh").select("rec_id", text.normal(F.col("mhterm")).alias("norm"), text.term_key(F.col("mhterm")).alias("term_key"))
+
+
 # --- risk -----------------------------------------------------------------------
 
 QUASI = ["siteid", "sex", "race"]
@@ -371,6 +389,12 @@ def dummy_text_shape(spark, d):
     return out.groupBy(text.shape_cased(F.upper(F.trim("aeterm"))).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(r"SELECT regexp_replace(regexp_replace(trim(aeterm), '[0-9]', '9', 'g'), '\p{L}', 'A', 'g') AS shape, count(*) AS n FROM ae GROUP BY 1")
+def dummy_text_shape_all(spark, d):
+    out = dummy_column(_vault(spark), table(spark, d, "ae").select("aeterm"), "aeterm")
+    return out.groupBy(text.shape(F.trim("aeterm")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- detection --------------------------------------------------------------------
 
 
@@ -441,15 +465,24 @@ def screen_entity_counts(spark, d):
     return detect.entity_counts(_queue(spark, d))
 
 
-@query(r"SELECT rec_id, regexp_replace(aeterm, '[\w.+-]+@[\w-]+\.[\w.-]{2,}', '<EMAIL_ADDRESS>', 'g') AS aeterm FROM ae WHERE NOT regexp_matches(aeterm, '[^ -~\t]')")
-def redact_email(spark, d):
-    ae = table(spark, d, "ae").where(~F.col("aeterm").rlike(r"[^ -~\t]"))
+def _redacted_email(ae: DataFrame) -> DataFrame:
     found = detect.findings_of(ae, "aeterm", _only("EMAIL_ADDRESS"))
     joined = ae.join(found, F.col("aeterm") == F.col("text"), "left")
     new = F.when(F.col("findings").isNotNull(), detect.redacted(F.col("aeterm"), F.col("findings"))).otherwise(F.col("aeterm"))
     return joined.select("rec_id", new.alias("aeterm"))
 
 
+@query(r"SELECT rec_id, regexp_replace(aeterm, '[\w.+-]+@[\w-]+\.[\w.-]{2,}', '<EMAIL_ADDRESS>', 'g') AS aeterm FROM ae WHERE NOT regexp_matches(aeterm, '[^ -~\t]')")
+def redact_email(spark, d):
+    return _redacted_email(table(spark, d, "ae").where(~F.col("aeterm").rlike(r"[^ -~\t]")))
+
+
+@query()
+def redact_email_all(spark, d):
+    """Every row; DuckDB's word characters are ASCII only, so there is no SQL."""
+    return _redacted_email(table(spark, d, "ae"))
+
+
 @query(r"""
 SELECT rec_id, CASE WHEN regexp_matches(aeterm, '[\w.+-]+@[\w-]+\.[\w.-]{2,}') THEN '[REDACTED]' ELSE aeterm END AS aeterm FROM ae""")
 def adjudicate_apply(spark, d):
