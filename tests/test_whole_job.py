@@ -3,7 +3,12 @@
 import re
 from collections import Counter
 
+import pytest
+
 from veilframe.functions.text import NA_CELLS
+from veilframe.operators.vault import Vault
+from veilframe.plans.contract import Anchor, Contract, Domain, Risk, Rule
+from veilframe.plans.pipeline import Pipeline
 from veilframe.queries import engine
 
 EMAIL = re.compile(r"\b[\w.+-]+@[\w-]+\.[\w.-]{2,}\b")
@@ -34,3 +39,29 @@ def test_no_row_is_left_out(spark, tmp_path):
 
     got = {r.rec_id: r.unit for r in engine.QUERIES["na_cells_all"](spark, d).collect()}
     assert got == {i: None if u in NA_CELLS else u for i, u, _ in units}
+
+
+@pytest.mark.parametrize("mode", ["subjects", "rows", "values"])
+def test_moved_records_carry_the_values_of_their_new_subject(spark, tmp_path, mode):
+    dm = [(f"S{i}", f"0{i}", f"X{i % 3}", f"2024-01-{10 + i:02d}" if i != 4 else None, "DM") for i in range(6)]
+    ae = [(f"S{i % 6}", f"0{i % 6}", f"X{i % 6 % 3}", 1 + i // 6, f"t{i}", f"2024-02-{1 + i:02d}", "AE") for i in range(18)]
+    study = {
+        "DM": spark.createDataFrame(dm, "USUBJID string, SITEID string, COUNTRY string, RFSTDTC string, DOMAIN string"),
+        "AE": spark.createDataFrame(ae, "USUBJID string, SITEID string, COUNTRY string, AE_NO int, AETERM string, AESTDTC string, DOMAIN string"),
+    }
+    domains = [Domain(n, [Rule(c, "retain") for c in df.columns], "USUBJID", reassign=n == "AE", reassign_mode=mode) for n, df in study.items()]
+    contract = Contract("1", "demo", "lds", Anchor("DM", "USUBJID", "RFSTDTC"), Risk("DM"), domains)
+    out = Pipeline(contract, Vault(spark, str(tmp_path / "v"), bytes(range(32)))).run(study, unreviewed=True)
+    got = out.tables["AE"].collect()
+    rows = {r[0]: r for r in dm}
+    assert len(got) == 18 and all((r.SITEID, r.COUNTRY, r.DOMAIN) == (*rows[r.USUBJID][1:3], "AE") for r in got)
+    report = out.manifest["reassignment"]["AE"]
+    assert report["mirrors"] == ["COUNTRY", "SITEID"] and report["n_rows"] == 18 and report["n_unanchored"] == 1
+    if mode == "subjects":
+        was = {r[4]: r for r in ae}
+        assert all(was[r.AETERM][0] != r.USUBJID for r in got) and report["n_kept_dates"] == 2
+        kept = {was[r.AETERM][0] for r in got if was[r.AETERM][5] == r.AESTDTC}
+        assert len(kept) == 2 and "S4" in kept
+    else:
+        for s in {r.USUBJID for r in got}:
+            assert sorted(r.AE_NO for r in got if r.USUBJID == s) == list(range(1, sum(r.USUBJID == s for r in got) + 1))

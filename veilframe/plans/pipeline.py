@@ -168,9 +168,10 @@ class Pipeline:
         notes: list[str] = []
         study = {n: df if ROW in df.columns else cut(df.withColumn(ROW, F.monotonically_increasing_id())) for n, df in study.items()}
         anchor = self.anchors(study)
+        reassigned, given = {}, dict(study)
         for d in contract.domains:
             if d.reassign and d.name in study:
-                study[d.name] = self._reassigned(d, study[d.name], anchor)
+                study[d.name], reassigned[d.name] = self._reassigned(d, given, notes)
         terms = self._blind_terms(study)
         targets = [(d.name, r.column) for d in contract.domains for r in d.rules if r.treatment == "screen_freetext"]
         policy = detect.policy_of({k: v for d in contract.domains for r in d.rules for k, v in (r.screen_policy or {}).items()})
@@ -200,20 +201,46 @@ class Pipeline:
             for d in contract.domains:
                 relabelled = [r.published for r in d.rules if r.treatment == "label_map"]
                 leaks += [r.asDict() for r in blinding.audit(tables[d.name], terms, d.name, ROW, relabelled).collect()]  # per term and column
-        manifest = self._manifest(measured, leaks, queue, notes)
+        manifest = self._manifest(measured, leaks, queue, notes, reassigned)
         manifest["unconverted_dates"] = {d.name: unconverted_dates(contract, d, study[d.name], tables[d.name]) for d in contract.domains if d.name in tables}
         return Published(tables, queue, measured, leaks, manifest, notes)
 
-    def _reassigned(self, d: Domain, df: DataFrame, anchor: DataFrame | None) -> DataFrame:
-        shifting = [r.column for r in d.rules if r.is_date or r.column.upper().endswith("DTC")]
+    def _reassigned(self, d: Domain, study: dict[str, DataFrame], notes: list[str]) -> tuple[DataFrame, dict]:
+        """The moved records and a report of counts."""
+        df, a = study[d.name], self.contract.anchor
+        key = self._key(d, df)
+        if key is None:
+            raise ContractError(f"{d.name}: reassigning needs a subject key")
+        shifting = [r.column for r in d.rules if r.column in df.columns and (r.is_date or r.column.upper().endswith("DTC"))]
+        at = self.contract.domain(a.domain)
+        keyed = study[a.domain].withColumn("_key", self._key(at, study[a.domain]))
+        references = cut(treatments.anchors(keyed, "_key", a.date_column, ROW))
+        own = at.reassign  # no table beside the moved ones: each is its own anchor
+        rows = cut(reassign.self_rows(df, key, d.subject_key, ROW) if own else reassign.subject_rows(study[a.domain], self._key(at, study[a.domain]), ROW))
+        mirrors = reassign.mirrors_of(df, key, rows, [*shifting, ROW], d.subject_key, None if own else a.subject_column)
         if d.reassign_mode == "subjects":
-            return reassign.by_subject(df, d.subject_key, shifting, anchor, self.vault)
-        sequence = next((r.column for r in d.rules if r.column.upper().endswith("SEQ")), None)
-        moved = reassign.by_row(df, d.subject_key, sequence, ROW)
-        if d.reassign_mode == "values":
-            others = [r.column for r in d.rules if r.column not in (d.subject_key, sequence)]
-            moved = reassign.shuffle_values(moved, others, ROW)
-        return moved
+            if d.join_key_template is None:
+                mirrors.pop(d.subject_key, None)  # the recipient itself
+            elif own:
+                raise ContractError(f"{d.name}: records with a composed key need an anchor table that is not moved")
+            moved = reassign.by_subject(df, d.subject_key, shifting, references, self.vault, rows=rows, key=key, mirrors=mirrors)
+        else:
+            mirrors.pop(d.subject_key, None)
+            plain = [c for c in df.columns if c not in (d.subject_key, ROW, *shifting, *mirrors)]
+            found = reassign.sequence_columns(df.where(F.col(d.subject_key).isNotNull()), d.subject_key, plain).where("is_sequence").collect() if plain else []  # one row per column
+            sequences = [r["column_name"] for r in found] or [c for c in plain if c.upper().endswith("SEQ")][:1]
+            moved = reassign.by_row(df, d.subject_key, sequences, ROW)
+            if d.reassign_mode == "values":
+                others = [r.column for r in d.rules if r.column in df.columns and r.column not in (d.subject_key, *sequences, *mirrors)]
+                moved = reassign.shuffle_values(moved, others, ROW)
+            owner = moved.withColumn("_owner", F.col(d.subject_key).cast("string"))
+            moved = cut(reassign.rewritten(owner, "_owner", rows, mirrors).drop("_owner"))
+        counts = reassign.report(df.withColumn("_key", key), moved.withColumn("_key", key), "_key", references).first().asDict()
+        if d.reassign_mode == "subjects" and shifting:
+            counts["n_kept_dates"] = self.vault.is_unanchored("all", df.select(key).where(key.isNotNull())).count()
+            if counts["n_kept_dates"]:
+                notes.append(f"{d.name}: {counts['n_kept_dates']} subjects keep their dates as written; derive study days again")
+        return moved, {"mode": d.reassign_mode, "mirrors": sorted(mirrors)} | counts
 
     def _blind_terms(self, study: dict[str, DataFrame]) -> list[str]:
         values, keep = [], []
@@ -224,7 +251,7 @@ class Pipeline:
                     keep += r.keep_values or []
         return blinding.revealing_terms(values, keep)
 
-    def _manifest(self, measured: dict | None, leaks: list[dict], queue: DataFrame | None, notes: list[str]) -> dict:
+    def _manifest(self, measured: dict | None, leaks: list[dict], queue: DataFrame | None, notes: list[str], reassigned: dict) -> dict:
         c = self.contract
         return {
             "tool": "veilframe",
@@ -233,6 +260,7 @@ class Pipeline:
             "contract": {"version": c.contract_version, "digest": c.digest(), "approved_by": c.approval.approved_by if c.approval else None},
             "anchor": {"domain": c.anchor.domain, "column": c.anchor.date_column},
             "transformation": {d.name: {r.column: r.treatment for r in d.rules} for d in c.domains},
+            "reassignment": reassigned,
             "screening": detect.policy_summary(queue).first().asDict() if queue is not None else None,
             "risk": measured,
             "blinding": {"leaks": len(leaks)},

@@ -626,10 +626,15 @@ def _spaced(spark, d):
 @query("""
 SELECT study_day, count(*) AS n FROM (SELECT date_diff('day', min(o_orderdate) OVER (PARTITION BY o_custkey)::DATE, o_orderdate::DATE)::INT AS study_day FROM orders) GROUP BY 1""")
 def reassign_study_day_invariant(spark, d):
+    """Records carry a column of their subject; one that is not the recipient's after the move loses its day."""
     orders, anchor = _spaced(spark, d)
-    moved = reassign.by_subject(orders, "subject", ["dtc"], anchor, _vault(spark))
-    joined = moved.join(anchor.withColumnRenamed("subject", "_s"), F.col("subject") == F.col("_s"))
-    return joined.groupBy(dates.study_day(F.col("dtc"), F.col("anchor"), True).alias("study_day")).agg(F.count(F.lit(1)).alias("n"))
+    anchor = anchor.withColumn("site", F.concat(F.lit("site "), F.col("subject")))
+    orders = orders.withColumn("site", F.concat(F.lit("site "), F.col("subject")))
+    rows = anchor.select("subject", F.col("site").alias("a_site"))
+    moved = reassign.by_subject(orders, "subject", ["dtc"], anchor, _vault(spark), rows=rows)
+    joined = moved.join(anchor.select(F.col("subject").alias("_s"), "anchor", F.col("site").alias("_site")), F.col("subject") == F.col("_s"))
+    day = F.when(F.col("site") == F.col("_site"), dates.study_day(F.col("dtc"), F.col("anchor"), True))
+    return joined.groupBy(day.alias("study_day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT count(*) AS n_subjects, 0::BIGINT AS n_kept_own, count(*) AS n_recipients FROM (SELECT DISTINCT o_custkey FROM orders)")
