@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from veilframe.functions.text import NA_CELLS
+from veilframe.operators import protocol
 from veilframe.operators.vault import Vault
 from veilframe.plans.contract import Anchor, Contract, Domain, Risk, Rule
 from veilframe.plans.pipeline import Pipeline
@@ -65,3 +66,15 @@ def test_moved_records_carry_the_values_of_their_new_subject(spark, tmp_path, mo
     else:
         for s in {r.USUBJID for r in got}:
             assert sorted(r.AE_NO for r in got if r.USUBJID == s) == list(range(1, sum(r.USUBJID == s for r in got) + 1))
+
+
+def test_proposals_reach_labels_aliases_and_lists(spark):
+    blocks = [
+        ("a", 0, "Protocol Number:"), ("a", 1, "QX77/2024"), ("a", 2, "Sponsor\n\nNorthwind Labs"),
+        ("a", 3, "zentolimab (ZTM) and other (XYZ)"), ("a", 4, "such as ketoconazole, fluconazole, nefazodone or verapine"),
+        ("b", 0, "Investigator: John Smith, Mary Jones and Wei Zhang"), ("b", 1, "apples, pears, plums"),
+    ]
+    df = spark.createDataFrame(blocks, "path string, block_no int, text string")
+    got = {(r.category, r.term_key) for r in protocol.propose(df, "path", "text", "block_no").collect()}
+    assert {("study_id", "qx77/2024"), ("sponsor", "northwind labs"), ("drug", "ztm"), ("drug", "nefazodone"), ("person", "mary jones"), ("person", "wei zhang")} <= got
+    assert not {("drug", "xyz"), ("drug", "apples"), ("drug", "plums")} & got

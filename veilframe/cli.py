@@ -136,7 +136,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "protocol":
         blocks = protocol.documents(spark, a.folder)
         if not a.apply:
-            protocol.propose(blocks, "path", "text").coalesce(1).write.mode("overwrite").csv(a.terms, header=True)
+            protocol.propose(blocks, "path", "text", "block_no").coalesce(1).write.mode("overwrite").csv(a.terms, header=True)
         else:
             decided = {r["term"]: r["replacement"] for r in spark.read.csv(a.terms, header=True).collect()}  # reviewed by hand
             done = protocol.apply_terms(spark, a.folder, decided, a.by, a.apply)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from veilframe.functions.text import word_pattern
 from veilframe.operators.detect import DRUG_ENDINGS
+from veilframe.session import cut
 from veilframe.sources import files
 
 # Forms of terms to propose, by category (group 1 is the term).
@@ -55,24 +56,86 @@ LABELS = {"study_id": r"(?i)^\s*(?:protocol|study)\s*(?:no\.?|number|id|code)\s*
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
-def propose(blocks: DataFrame, doc: str, text: str) -> DataFrame:
-    """(term_key, term, category, n, n_docs) of terms that written forms suggest."""
+# What parts a list, what may stand before its first item, and words that are no drug or person.
+_LIST = re.compile(r"\s*(?:,|;|，|、|；|/|\band\b|\bor\b|&|和|及|与|或)\s*")
+_LEAD = re.compile(r"(?i)^.*?(?:[(:：]|\b(?:such as|e\.\s?g\.?,?|i\.\s?e\.?,?|including|includes?|for example|for instance|like)\s+)")
+_TITLE = re.compile(r"^(?:Dr|Prof|Professor|Mr|Mrs|Ms)\.?\s+")
+_NO_ITEM = frozenset(
+    """other others drug drugs medication medications medicine medicines inhibitor inhibitors inducer inducers substrate substrates strong
+    moderate potent weak agent agents product products herbal supplement supplements the a an etc all any these those certain some treatment
+    therapy therapies patient patients subject subjects class classes use used not with without is are be may should must within days weeks
+    prior before after during study dose doses known listed below above table section see list following include test compound
+    investigational placebo matching vehicle clinical medical hospital university department institute street road""".split()
+)
+
+
+def _list_items(line: str) -> Iterator[tuple[str, str]]:
+    """(category, item) of the parts of a line that could be a drug or a person and nothing else."""
+    parts = _LIST.split(line)
+    for part in parts if len(parts) > 1 else ():
+        item = _LEAD.sub("", part.strip()).strip(" \t.。;:()（）[]\"'“”")
+        words = item.split()
+        if len(item) < 4 or any(w.lower().strip(".'") in _NO_ITEM for w in words):
+            continue
+        if len(parts) > 2 and 1 <= len(words) <= 3 and all(re.fullmatch(r"[A-Za-z][A-Za-z'’.-]*", w) for w in words):
+            yield "drug", item
+        if re.fullmatch(_NAME, name := _TITLE.sub("", item)):
+            yield "person", name
+
+
+def _heads(before: str) -> list[str]:
+    """What an alias in brackets may stand for: the last one to four words, or the last Chinese characters."""
+    words = re.findall(r"[^\s,;:()（），；：]+", before)[-4:]
+    chinese = re.search(rf"{_CHINESE}+$", before.rstrip())
+    tails = [chinese[0][-k:] for k in range(2, 13) if k <= len(chinese[0])] if chinese else []
+    return list({*(" ".join(words[-k:]).lower() for k in range(1, len(words) + 1)), *tails})
+
+
+def propose(blocks: DataFrame, doc: str, text: str, position: str | None = None) -> DataFrame:
+    """(term_key, term, category, n, n_docs) of terms that written forms suggest.
+
+    With them come the lines after a label (in the block, and over blocks
+    where ``position`` orders them), short forms in brackets after a drug, and
+    the rest of a list that holds two found drugs or one found person.
+    """
     compiled = [(c, re.compile(p)) for c, p in TERM_FORMS]
+    labels = [(c, re.compile(p)) for c, p in LABELS.items()]
+    short = re.compile(r"\s*[(（]([A-Za-z][A-Za-z0-9-]{1,15})[)）]")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [
-                (d, m.group(1).strip(), category)
-                for d, t in zip(batch["_doc"], batch["_text"])
-                for category, pattern in compiled
-                for m in pattern.finditer(t)
-            ]
-            yield pd.DataFrame(out, columns=["_doc", "term", "category"])
+            out = []
+            for d, t in zip(batch["_doc"], batch["_text"]):
+                out += [(d, m.group(1).strip(), c, "form", None, None) for c, pattern in compiled for m in pattern.finditer(t)]
+                lines = [line for line in t.splitlines() if line.strip()]
+                for line, after in zip(lines, lines[1:]):
+                    if 3 <= len(after.strip()) <= 80:
+                        out += [(d, after.strip(), c, "form", None, None) for c, pattern in labels if pattern.match(line)]
+                out += [(d, m.group(1), "drug", "alias", None, _heads(t[max(0, m.start() - 120) : m.start()])) for m in short.finditer(t)]
+                out += [(d, item, c, "list", line, None) for line in lines for c, item in _list_items(line)]
+            yield pd.DataFrame(out, columns=["_doc", "term", "category", "way", "line", "heads"])
 
     rows = blocks.where(F.col(text).isNotNull()).select(F.col(doc).cast("string").alias("_doc"), F.col(text).alias("_text"))
-    found = rows.mapInPandas(scan, "_doc string, term string, category string")
+    every = rows.mapInPandas(scan, "_doc string, term string, category string, way string, line string, heads array<string>")
     key = F.lower(F.regexp_replace(F.trim("term"), r"\s+", " "))
-    per_doc = found.groupBy(key.alias("term_key"), "category", "_doc").agg(F.count(F.lit(1)).alias("n"), F.min("term").alias("term"))
+    every = cut(every.withColumn("term_key", key))  # read three times below
+    columns = ["_doc", "term", "term_key", "category"]
+    found = every.where("way = 'form'").select(*columns)
+    if position:
+        lines = labelled_terms(blocks, doc, position, text)
+        lines = lines.select(F.col("doc").cast("string").alias("_doc"), "term", key.alias("term_key"), "category")
+        found = found.unionByName(lines)
+    known = found.select("term_key", "category").distinct().withColumn("_known", F.lit(True))
+    named = every.where("way = 'alias'").withColumn("_at", F.monotonically_increasing_id())
+    drugs = known.where("category = 'drug'").select(F.col("term_key").alias("_head"))
+    named = named.withColumn("_head", F.explode("heads")).join(drugs, "_head", "left_semi").dropDuplicates(["_at"]).select(*columns)
+    items = every.where("way = 'list'").join(known, ["term_key", "category"], "left")
+    of_line = ["_doc", "category", F.xxhash64("line").alias("line")]
+    seeds = items.where("_known").groupBy(*of_line).agg(F.count_distinct("term_key").alias("seeds"))
+    seeds = seeds.where((F.col("seeds") >= 2) | (F.col("category") == "person")).drop("seeds")
+    listed = items.where("_known IS NULL").select(*columns, F.xxhash64("line").alias("line")).join(seeds, ["_doc", "category", "line"], "left_semi")
+    found = found.unionByName(named).unionByName(listed.select(*columns))
+    per_doc = found.groupBy("term_key", "category", "_doc").agg(F.count(F.lit(1)).alias("n"), F.min("term").alias("term"))
     return per_doc.groupBy("term_key", "category").agg(
         F.min("term").alias("term"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs")
     )
