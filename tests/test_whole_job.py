@@ -9,7 +9,7 @@ from veilframe.functions.text import NA_CELLS
 from veilframe.operators import protocol
 from veilframe.operators.vault import Vault
 from veilframe.plans.contract import Anchor, Contract, Domain, Risk, Rule
-from veilframe.plans.pipeline import Pipeline
+from veilframe.plans.pipeline import ContractMismatch, Pipeline
 from veilframe.queries import engine
 
 EMAIL = re.compile(r"\b[\w.+-]+@[\w-]+\.[\w.-]{2,}\b")
@@ -78,3 +78,12 @@ def test_proposals_reach_labels_aliases_and_lists(spark):
     got = {(r.category, r.term_key) for r in protocol.propose(df, "path", "text", "block_no").collect()}
     assert {("study_id", "qx77/2024"), ("sponsor", "northwind labs"), ("drug", "ztm"), ("drug", "nefazodone"), ("person", "mary jones"), ("person", "wei zhang")} <= got
     assert not {("drug", "xyz"), ("drug", "apples"), ("drug", "plums")} & got
+
+
+def test_blinding_sees_every_treatment_or_stops(spark, tmp_path):
+    contract = Contract("1", "demo", "lds", Anchor("DM", "U", "D"), Risk("DM"), [Domain("DM", [Rule("ARM", "label_map", entity="treatment")])])
+    pipeline = Pipeline(contract, Vault(spark, str(tmp_path / "v"), bytes(range(32))))
+    arms = [(" " * i + "Placebo",) for i in range(900)] + [("Drugamab",), (None,)]
+    assert pipeline._blind_terms({"DM": spark.createDataFrame(arms, "ARM string")}) == ["drugamab"]
+    with pytest.raises(ContractMismatch):
+        pipeline._blind_terms({"DM": spark.createDataFrame([(f"drug{i}",) for i in range(703)], "ARM string")})

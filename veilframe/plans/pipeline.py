@@ -247,7 +247,12 @@ class Pipeline:
         for d in self.contract.domains:
             for r in d.rules:
                 if r.treatment == "label_map" and d.name in study:
-                    values += [v[0] for v in study[d.name].select(r.column).distinct().limit(703).collect()]  # at most the labels there are
+                    spared = [k.strip().upper() for k in r.keep_values or []]
+                    seen = study[d.name].select(F.upper(F.trim(F.col(r.column).cast("string"))).alias("v")).where(F.col("v").isNotNull())
+                    found = [v[0] for v in (seen.where(~F.col("v").isin(*spared)) if spared else seen).distinct().limit(703).collect()]
+                    if len(found) > 702:  # as many as there are labels
+                        raise ContractMismatch(f"{d.name}.{r.column}: more treatments than labels")
+                    values += found
                     keep += r.keep_values or []
         return blinding.revealing_terms(values, keep)
 
