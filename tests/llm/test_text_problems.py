@@ -1,11 +1,14 @@
 """Operators of the text problems against brute force, round trips and edge cases."""
 
 import random
+import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veilframe.llm import canonical, leakage, mixing, pii, truncation
+from veilframe.llm import canonical, leakage, mixing, pii, pii_corpus, truncation
 
 # --- canonical list --------------------------------------------------------------
 
@@ -68,54 +71,86 @@ def test_mapping_over_rows_and_blocks(spark, monkeypatch):
 # --- personal information -----------------------------------------------------------
 
 
+PII_TERMS = [t for _, name, alts in TERMS for t in [name, *(alts or "").split("|")] if t]
+HELD_OUT = {"name:told", "name:caller", "said:present", "phone:call", "email:from", "address:event", "address:sent", "id:verb"}
+
+
 @pytest.fixture(scope="module")
 def field():
-    return pii.train([t for _, name, alts in TERMS for t in [name, *(alts or "").split("|")] if t], texts=5000)
+    """A field that never saw the cues of HELD_OUT."""
+    return pii.train(PII_TERMS, texts=16000, families=set(pii_corpus.FAMILIES) - HELD_OUT)
 
 
-def test_held_out_accuracy(field):
+def test_held_out_families(field):
     r = random.Random(77)
-    right = wrong = missed = 0
-    cases = [pii._sentence(r, ["asthma", "ankle blister", "influenza"]) for _ in range(800)]
-    for (_, gold), found in zip(cases, pii.predict(field, [t for t, _ in cases])):
+    right, wrong, missed = Counter(), Counter(), Counter()
+    cases = [pii_corpus.sentence(r, ["asthma", "ankle blister", "influenza"], HELD_OUT) for _ in range(2500)]
+    for (_, gold), (found, _) in zip(cases, pii.predict(field, [t for t, _ in cases])):
         gold, found = {(k, s) for k, s, _ in gold}, {(k, s) for k, s, _ in found}
-        right, wrong, missed = right + len(gold & found), wrong + len(found - gold), missed + len(gold - found)
-    assert right / (right + wrong) > 0.95 and right / (right + missed) > 0.93
+        right.update(k for k, _ in gold & found)
+        wrong.update(k for k, _ in found - gold)
+        missed.update(k for k, _ in gold - found)
+    for kind in pii.LABELS[1:]:
+        precision, recall = right[kind] / (right[kind] + wrong[kind]), right[kind] / (right[kind] + missed[kind])
+        print(f"held out {kind}: precision {precision:.3f}, recall {recall:.3f}")
+        assert recall >= 0.85 and precision >= 0.85, (kind, precision, recall)
+    assert sum(right.values()) / (sum(right.values()) + sum(missed.values())) >= 0.9
+
+
+def test_generator_holds_no_written_numbers():
+    source = open(pii_corpus.__file__, encoding="utf-8").read()
+    assert [n for n in re.findall(r"(?<![\d_])\d{5,}", source) if set(n) != {"9"} and n != "0123456789"] == []
+    assert not re.search(r"\d{3}-\d{2}-\d{4}", source.replace("999-99-9999", ""))
 
 
 @pytest.mark.parametrize(
     ("text", "kind", "start"),
     [
-        ("Asthma; kit no. 594-52-6956", None, 0), ("Asthma (SSN 594-52-6956)", "id_number", 12), ("pt rang from (685) 555-0195 re asthma", "phone", 13),
-        ("asthma (reply to a.b at inbox dot test)", "email", 17), ("asthma; home visit at Flat 3, 12 Grunder Road", "address", 22),
-        ("Dry eye, seen by Dr. Marlo Kettin", "name", 21), ("asthma", None, 0), ("", None, 0), (None, None, 0), ("   ", None, 0),
+        ("Asthma; kit no. 594-52-6956", None, 0), ("Asthma (SSN 594-52-6956)", "id_number", 12), ("patient called from (685) 555-0195 re asthma", "phone", 20),
+        ("asthma (write to a.b at inbox dot test)", "email", 17), ("asthma; visited at Flat 3, 12 Grunder Road", "address", 19), ("lives at 12 Grunder Crescent, asthma", "address", 9),
+        ("Dry eye, seen by Dr. Marlo Kettin", "name", 21), ("asthma", None, 0), ("", None, 0), (None, None, 0), ("   ", None, 0), ("...", None, 0),
     ],
 )
 def test_details(field, text, kind, start):
-    (found,) = pii.predict(field, [text])
-    assert [(k, s) for k, s, _ in found] == ([(kind, start)] if kind else [])
+    ((found, settled),) = pii.predict(field, [text])
+    assert [(k, s) for k, s, _ in found] == ([(kind, start)] if kind else []) and settled
+
+
+def test_a_detail_needs_no_written_form(field):
+    text = "asthma, passport no X41Y77Z02"
+    assert pii.spans_of(text) == []
+    assert [(k, s) for k, s, _ in pii.predict(field, [text])[0][0]] == [("id_number", 20)]
 
 
 def test_redaction_keeps_the_rest(field):
     text = "asthma, phone 801-555-0161 or 453-555-0168"
-    (found,) = pii.predict(field, [text])
+    ((found, _),) = pii.predict(field, [text])
     assert pii.redact(text, found) == "asthma, phone <PHONE> or <PHONE>"
 
 
-def test_message_passing_equals_viterbi_on_a_chain(field):
-    import numpy as np
-
+def test_message_passing_equals_viterbi_on_chains(field):
     r = np.random.default_rng(0)
-    for n in (2, 5, 9):
-        unary = r.normal(size=(n, len(pii.LABELS))) * 3
-        assert (pii.message_passing(unary, [], field) == pii.viterbi(unary[None], field.chain)[0]).all()
-
-
-def test_find_over_rows(spark, field):
-    long = "asthma " * 3000 + "(reply to a.b@inbox.test)"
-    df = spark.createDataFrame([(1, "asthma (reply to a.b@inbox.test)", 5), (1, "asthma (reply to a.b@inbox.test)", 5), (2, None, 5), (3, long, 5)], "rec_id long, term string, details int")
-    got = sorted((r.rec_id, len(r.details)) for r in pii.find(df, ["rec_id"], "term", ["asthma"]).collect())
-    assert got == [(1, 1), (1, 1), (2, 0), (3, 1)]
+    lengths, unary, joined = [2, 5, 9, 1, 40], [], []
+    for n in lengths:
+        unary.append(r.normal(size=(n, len(pii.LABELS))) * 3)
+        joined.append(np.array([0, *r.integers(0, 2, n - 1)]))
+    labels, settled = pii.message_passing(np.concatenate(unary), np.concatenate(joined), lengths, [[]] * 5, field)
+    assert settled.all()
+    assert (labels == np.concatenate([pii.viterbi(u[None], j[None], field)[0] for u, j in zip(unary, joined)])).all()
+
+
+def test_message_passing_of_a_document_does_not_depend_on_others(field):
+    texts = ["seen by Marlo Kettin, asthma, told by Kettin again", "asthma asthma asthma asthma", "Kettin, asthma; " * 50 + "Kettin"]
+    alone = [pii.predict(field, [t])[0] for t in texts]
+    assert pii.predict(field, texts) == alone
+
+
+def test_find_over_rows(spark, field, monkeypatch):
+    monkeypatch.setattr(pii, "trained", lambda terms: field)
+    long = "asthma " * 3000 + "(write to a.b@inbox.test)"
+    df = spark.createDataFrame([(1, "asthma (write to a.b@inbox.test)", 5), (1, "asthma (write to a.b@inbox.test)", 5), (2, None, 5), (3, long, 5)], "rec_id long, term string, details int")
+    got = sorted((r.rec_id, len(r.details), r.settled) for r in pii.find(df, ["rec_id"], "term", ["asthma"]).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 0, True), (3, 1, True)]
     assert pii.find(df.limit(0), ["rec_id"], "term", ["asthma"]).count() == 0
 
 
