@@ -11,8 +11,13 @@ whose best entries tie is reported as unmatched rather than guessed.
 
 Accents, case and punctuation are folded on both sides; entries with ae or oe
 have an alias path with e.  Automaton results are memoised per distinct word, so the work is
-one trie walk per new word.  The trie of one block of ``BLOCK_ENTRIES`` entries
-is broadcast; a longer list is walked block by block and the best entry wins.
+one trie walk per new word, and a repeated value is walked once per task.
+
+A list of more than ``BLOCK_ENTRIES`` entries is walked block by block.  Which
+words a written word may mean is settled by the words of the whole list, which
+every block holds; blocks hold the entries.  Each block returns its two best
+entries per distinct value, and ties and the fallback are settled over all
+blocks, so the blocks change no result.
 
 Null, blank and wordless values match nothing (-1).  Values of any length are
 read whole; repeated rows each get their own result.
@@ -174,31 +179,29 @@ class Trie:
         return out
 
 
-class Canonical:
-    """Trie of entries: words of a value lead from node to node."""
+Entry = tuple[int, str, str | None]
 
-    def __init__(self, entries: list[tuple[int, str, str | None]]):
-        self.letters, self.joined = Trie(), Trie()
-        self.root: dict = {}
-        self.whole: dict[int, set[int]] = {}
-        self.single: set[int] = set()
-        self.near: dict[str, dict[int, float]] = {}
+
+def aliases(entries: list[Entry]) -> Iterator[tuple[int, str, str, list[str]]]:
+    """(entry, name, alias, folded words) of every spelling of every entry."""
+    for entry, name, others in entries:
+        for alias in [name, *(others or "").split("|")]:
+            for words in spellings(fold(alias)):
+                if words:
+                    yield entry, name, alias, words
+
+
+class Words:
+    """The words of the whole list: what a written word may mean."""
+
+    def __init__(self, entries: list[Entry]):
+        self.letters = Trie()
         self.memo: dict[str, list[tuple[int, float, int]]] = {}
         acronyms: set[str] = set()
-        for entry, name, others in entries:
-            for alias in [name, *(others or "").split("|")]:
-                for words in spellings(fold(alias)):
-                    if not words:
-                        continue
-                    self._add(words, entry)
-                    acronyms |= {w for w in words if alias.isupper()}
-                    if len(words) > 1 or len(words[0]) >= ALONE:
-                        number = self.joined.add("".join(words))
-                        self.whole.setdefault(number, set()).add(entry)
-                        if len(words) == 1:
-                            self.single.add(number)
-                    if len(words) > 1 and alias == name:
-                        self._add([words[-1], *words[:-1]], entry)
+        for _, _, alias, words in aliases(entries):
+            for w in words:
+                self.letters.add(w)
+            acronyms |= {w for w in words if alias.isupper()}
         #: Acronyms are read as written or not at all.
         self.exact = {k for k, w in enumerate(self.letters.words) if w in acronyms}
         self.sounds: dict[tuple[str, int], list[int]] = {}
@@ -206,12 +209,6 @@ class Canonical:
             for key in sound(word, reference=True) if len(word) > 3 else ():
                 self.sounds.setdefault(key, []).append(number)
 
-    def _add(self, words: list[str], entry: int) -> None:
-        node = self.root
-        for w in words:
-            node = node.setdefault(self.letters.add(w), {})
-        node.setdefault(-1, set()).add(entry)
-
     def readings(self, word: str) -> list[tuple[int, float, int]]:
         """Reference words a written word may mean: (word, cost, edits over budget).
 
@@ -249,11 +246,39 @@ class Canonical:
             self.memo[word] = known
         return known
 
-    def candidates(self, value: str | None) -> dict[int, float]:
-        """Every reachable entry with its best score (letters covered less edits)."""
+
+class Canonical:
+    """Trie of entries: words of a value lead from node to node."""
+
+    def __init__(self, entries: list[Entry], words: Words | None = None):
+        self.words = words or Words(entries)
+        self.joined = Trie()
+        self.root: dict = {}
+        self.whole: dict[int, set[int]] = {}
+        self.single: set[int] = set()
+        self.near: dict[str, dict[int, float]] = {}
+        for entry, name, alias, listed in aliases(entries):
+            self._add(listed, entry)
+            if len(listed) > 1 or len(listed[0]) >= ALONE:
+                number = self.joined.add("".join(listed))
+                self.whole.setdefault(number, set()).add(entry)
+                if len(listed) == 1:
+                    self.single.add(number)
+            if len(listed) > 1 and alias == name:
+                self._add([listed[-1], *listed[:-1]], entry)
+        #: No longer text can be within distance of an entry.
+        self.longest = max(map(len, self.joined.words), default=0) + joined_budget(1 << 30)
+
+    def _add(self, words: list[str], entry: int) -> None:
+        node = self.root
+        for w in words:
+            node = node.setdefault(self.words.letters.find(w), {})
+        node.setdefault(-1, set()).add(entry)
+
+    def walked(self, words: list[str]) -> dict[int, float]:
+        """Every entry reachable word by word with its best score (letters covered less edits)."""
         best: dict[int, float] = {}
-        words = fold(value) if value else []
-        names = self.letters.words
+        names = self.words.letters.words
         for start in range(len(words)):
             stack = [(self.root, start, 0.0, 0, 0, 0)]
             while stack:
@@ -267,24 +292,24 @@ class Canonical:
                     if score > best.get(entry, -1e9):
                         best[entry] = score
                 if at < len(words):
-                    for w, c, o in self.readings(words[at]):
+                    for w, c, o in self.words.readings(words[at]):
                         if w in node and over + o < 2:
                             covered = min(len(names[w]), len(words[at]))
                             stack.append((node[w], at + 1, cost + c, letters + covered, depth + 1, over + o))
                     if depth and len(words[at]) < 4 and cost < 1:
                         stack.append((node, at + 1, cost + STRAY_COST, letters, depth, over))
-        if not best or max(best.values()) < WEAK:
-            for entry, score in self._without_blanks(words).items():
-                best[entry] = max(best.get(entry, -1e9), score)
-        return {e: s for e, s in best.items() if s >= LEAST}
+        return best
 
-    def _without_blanks(self, words: list[str]) -> dict[int, float]:
+    def without_blanks(self, words: list[str]) -> dict[int, float]:
         """Entries written in one, or cut into other words than theirs."""
         best: dict[int, float] = {}
         for start in range(len(words)):
-            for end in range(start + 1, min(start + 7, len(words) + 1)):
-                text = "".join(words[start:end])
-                if len(text) < 6 or len(text) > 48:
+            text = ""
+            for end in range(start + 1, len(words) + 1):
+                text += words[end - 1]
+                if len(text) > self.longest:
+                    break
+                if len(text) < 6:
                     continue
                 plain = end == start + 1 or not QUALIFIERS.isdisjoint(words[start:end])
                 near = self.near.get(text)
@@ -300,15 +325,43 @@ class Canonical:
                         best[entry] = max(best.get(entry, -1e9), score)
         return best
 
+    def candidates(self, value: str | None) -> dict[int, float]:
+        """Every entry within distance of a value with its score."""
+        words = fold(value) if value else []
+        best = self.walked(words)
+        if not best or max(best.values()) < WEAK:
+            for entry, score in self.without_blanks(words).items():
+                best[entry] = max(best.get(entry, -1e9), score)
+        return {e: s for e, s in best.items() if s >= LEAST}
+
     def best(self, *values: str | None) -> tuple[int, float]:
         """(entry, score) of the first value that means exactly one entry, else -1."""
         for value in values:
-            found = sorted(self.candidates(value).items(), key=lambda x: -x[1])
+            found = leaders(self.candidates(value))
             if found and (len(found) == 1 or found[0][1] > found[1][1]):
                 return found[0]
         return -1, -1e9
 
 
+def leaders(found: dict[int, float]) -> list[tuple[int, float]]:
+    """The two best entries."""
+    return sorted(found.items(), key=lambda x: (-x[1], x[0]))[:2]
+
+
+def settle(blocks: list[tuple[list[tuple[int, float]], list[tuple[int, float]]]]) -> int:
+    """The entry a value means, from each block's leaders (walked, without blanks), or -1."""
+    walked: dict[int, float] = {}
+    joined: dict[int, float] = {}
+    for first, second in blocks:
+        for into, part in ((walked, first), (joined, second)):
+            for entry, score in part:
+                into[entry] = max(score, into.get(entry, -1e9))
+    if not walked or max(walked.values()) < WEAK:
+        walked = {e: max(walked.get(e, -1e9), joined.get(e, -1e9)) for e in {*walked, *joined}}
+    found = leaders({e: s for e, s in walked.items() if s >= LEAST})
+    return found[0][0] if found and (len(found) == 1 or found[0][1] > found[1][1]) else -1
+
+
 def uncoded(rows: DataFrame, code: str, reference: DataFrame, name: str) -> DataFrame:
     """Rows whose code is null or not exactly some entry name."""
     names = reference.select(F.col(name).alias(code)).where(F.col(code).isNotNull()).distinct()
@@ -319,28 +372,69 @@ def uncoded(rows: DataFrame, code: str, reference: DataFrame, name: str) -> Data
 def map_values(rows: DataFrame, keys: list[str], values: list[str], reference: DataFrame, entry: str, name: str, others: str) -> DataFrame:
     """(keys, entry_id): the entry the first telling of ``values`` means, or -1."""
     spark = rows.sparkSession
-    blocks: list[list[tuple[int, str, str | None]]] = [[]]
-    for r in reference.where(F.col(name).isNotNull()).select(entry, name, others).toLocalIterator():
-        if len(blocks[-1]) == BLOCK_ENTRIES:
-            blocks.append([])
-        blocks[-1].append(tuple(r))
+    # The reference list is read whole; one entry stays in one block.
+    entries = [tuple(r) for r in reference.where(F.col(name).isNotNull()).select(entry, name, others).toLocalIterator()]
+    entries.sort(key=lambda e: (e[0], e[1], e[2] or ""))
     narrow = rows.select(*keys, *[F.col(v).cast("string").alias(f"_v{i}") for i, v in enumerate(values)])
+    columns = [f"_v{i}" for i in range(len(values))]
+    if len(entries) > BLOCK_ENTRIES:
+        return _map_in_blocks(narrow, keys, columns, entries)
+    shared = spark.sparkContext.broadcast(entries)
     schema = ", ".join(f"{c} {narrow.schema[c].dataType.simpleString()}" for c in keys)
-    parts = []
-    for block in blocks:
-        shared = spark.sparkContext.broadcast(block)
 
-        def match(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            canonical = Canonical(shared.value)
+    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        canonical = Canonical(shared.value)
+        memo: dict[tuple, int] = {}
+        for batch in batches:
+            found = []
+            for told in zip(*[batch[c] for c in columns]):
+                if (known := memo.get(told)) is None:
+                    if len(memo) > 200_000:
+                        memo.clear()
+                    known = memo[told] = canonical.best(*told)[0]
+                found.append(known)
+            yield batch[keys].assign(entry_id=found)
+
+    return narrow.mapInPandas(match, f"{schema}, entry_id long")
+
+
+def _map_in_blocks(narrow: DataFrame, keys: list[str], columns: list[str], entries: list[Entry]) -> DataFrame:
+    """Distinct values against every block, settled over the blocks, joined back to the rows."""
+    spark = narrow.sparkSession
+    told = reduce(DataFrame.unionByName, [narrow.select(F.col(c).alias("_value")) for c in columns]).where(F.col("_value").isNotNull()).distinct()
+    words = spark.sparkContext.broadcast(Words(entries))
+    lead = "array<struct<e:long,s:double>>"
+    parts = []
+    for at in range(0, len(entries), BLOCK_ENTRIES):
+        stop = at + BLOCK_ENTRIES
+        # Rows of one entry must not be parted.
+        low = next((k for k in range(at, len(entries)) if not k or entries[k][0] != entries[k - 1][0]), len(entries))
+        high = next((k for k in range(stop, len(entries)) if entries[k][0] != entries[k - 1][0]), len(entries))
+        shared = spark.sparkContext.broadcast(entries[low:high])
+
+        def lead_in(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            canonical = Canonical(shared.value, words.value)
             for batch in batches:
-                found = [canonical.best(*v) for v in zip(*[batch[f"_v{i}"] for i in range(len(values))])]
-                out = batch[keys].copy()
-                out["entry_id"] = [f[0] for f in found]
-                out["score"] = [f[1] for f in found]
-                yield out
-
-        parts.append(narrow.mapInPandas(match, f"{schema}, entry_id long, score double"))
-    if len(parts) == 1:
-        return parts[0].drop("score")
-    every = reduce(DataFrame.unionByName, parts)
-    return every.groupBy(*keys).agg(F.max_by("entry_id", F.struct("score", -F.col("entry_id"))).alias("entry_id"))
+                folded = [fold(v) for v in batch["_value"]]
+                found = [(leaders(canonical.walked(w)), leaders(canonical.without_blanks(w))) for w in folded]
+                for k, side in enumerate(("walked", "joined")):
+                    batch[side] = [[{"e": e, "s": s} for e, s in f[k]] for f in found]
+                yield batch
+
+        parts.append(told.mapInPandas(lead_in, f"_value string, walked {lead}, joined {lead}"))
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["entry_id"] = [
+                settle([([(r["e"], r["s"]) for r in b["walked"]], [(r["e"], r["s"]) for r in b["joined"]]) for b in blocks]) for blocks in batch["blocks"]
+            ]
+            yield batch[["_value", "entry_id"]]
+
+    # At most four entries a block for each value.
+    gathered = reduce(DataFrame.unionByName, parts).groupBy("_value").agg(F.collect_list(F.struct("walked", "joined")).alias("blocks"))
+    meant = gathered.mapInPandas(decide, "_value string, entry_id long")
+    out = narrow
+    for c in columns:
+        out = out.join(meant.select(F.col("_value").alias(c), F.col("entry_id").alias(f"{c}_e")), c, "left")
+    pick = F.coalesce(*[F.when(F.col(f"{c}_e") >= 0, F.col(f"{c}_e")) for c in columns], F.lit(-1).cast("long"))
+    return out.select(*keys, pick.alias("entry_id"))

@@ -8,11 +8,13 @@ direction that keeps both expectations, until one fraction is 0 or 1.  Token
 mass is kept exactly at each meeting, so a source ends within one document of
 its target.
 
-The tree: each partition streams its documents and keeps one open document per
-source; the leftovers (partitions x sources) meet again in groups of ``FAN_IN``
-until one per source is left, which a last draw settles.  Draws are hashes of
-document id, level and seed, so a task that runs again decides the same, and
-each level is cut to the shared checkpoint folder.
+The tree: sizes (no texts) are dealt to groups by a hash of the document id,
+their number following from the number of documents alone; each group streams
+its documents in the order of their ids and keeps one open document per source;
+the leftovers (groups x sources) meet again in groups of ``FAN_IN`` until every
+source has one at most, which a last draw settles.  Draws are hashes of document
+id, level and seed.  So neither the files' layout nor a task that runs again
+changes the mixture; each level is cut to the shared checkpoint folder.
 
 ``total`` is the largest mixture that all present sources can fill without any
 document being used more than ``max_repeat`` times, unless a smaller one is
@@ -39,6 +41,8 @@ from veilframe.session import cut
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Published split pattern of that byte-level vocabulary.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Documents of one group of the first level, and least number of groups.
+GROUP_DOCS, GROUPS = 250_000, 16
 #: Open documents that meet in one task of the upper levels.
 FAN_IN = 4096
 EDGE = 1e-9
@@ -121,6 +125,12 @@ def _rounds(level: int, seed: int):
 ROUNDED = "source string, doc_id long, extra int, n_tokens long, fraction double"
 
 
+def open_docs(left: DataFrame):
+    """Most open documents of one source, and all of them (0 where there are none)."""
+    per_source = left.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return per_source.agg(F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.sum("n"), F.lit(0)).alias("every")).first()
+
+
 def plan(counts: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
     """(source, target_share, share, max_repeat, tokens, expected copies); one row per target."""
     wanted = targets.where(F.col("source").isNotNull()).groupBy("source").agg(
@@ -147,24 +157,25 @@ def mix(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text:
     """(drawn, planned): (source, doc_id, n_tokens, copies) and one row per target."""
     counts = cut(token_counts(documents, doc_id, text, source, vocabulary))
     planned = cut(plan(counts, targets, total))
-    # One row per target; the targets are a list written by hand.
-    n_targets = planned.count()
     rates = planned.select("source", "expected")
-    rates = F.broadcast(rates) if n_targets <= 10_000 else rates
+    # One row per target, a list written by hand; a long one is joined by a shuffle.
+    rates = F.broadcast(rates) if planned.count() <= 10_000 else rates
     wanted = counts.where(F.col("n_tokens") > 0).join(rates, "source").where(F.col("expected") > 0)
     whole = F.floor("expected").cast("int")
     sized = wanted.select("source", "doc_id", "n_tokens", (F.col("expected") - whole).alias("fraction"))
-    rounded = cut(sized.mapInPandas(_rounds(0, seed), ROUNDED))
+    def meet(docs: DataFrame, n: int, level: int) -> DataFrame:
+        groups = F.pmod(F.xxhash64("doc_id", F.lit(level)), F.lit(n))
+        dealt = docs.select("source", "doc_id", "n_tokens", "fraction").repartition(n, groups)
+        return cut(dealt.sortWithinPartitions("source", "doc_id", "n_tokens").mapInPandas(_rounds(level, seed), ROUNDED))
+
+    rounded = meet(sized, max(GROUPS, -(-counts.count() // GROUP_DOCS)), 0)
     settled, level = [rounded.where(F.col("extra").isNotNull())], 1
     left = rounded.where(F.col("extra").isNull())
-    while (n_left := left.count()) > n_targets:
-        groups = -(-n_left // FAN_IN)
-        met = left.repartition(groups, F.pmod(F.xxhash64("doc_id"), F.lit(groups))).sortWithinPartitions("source", "doc_id")
-        met = cut(met.select("source", "doc_id", "n_tokens", "fraction").mapInPandas(_rounds(level, seed), ROUNDED))
+    # Until no source has two open documents that could still meet.
+    while (n_open := open_docs(left))["most"] > 1:
+        met = meet(left, -(-n_open["every"] // FAN_IN), level)
         settled.append(met.where(F.col("extra").isNotNull()))
         left, level = met.where(F.col("extra").isNull()), level + 1
-        if groups == 1:
-            break
 
     def last(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -47,7 +47,7 @@ NUMBER_STOPS = 1000
 MAX_WORD = 64
 
 # Words (with the numbers after them folded to '#'), numbers, line ends, marks.
-TOKEN = r"(?U)(?:\p{L}+(?:['’]\p{L}+)*(?: ?[0-9][0-9.,/]*)?|[0-9][0-9.,/]*|\n|[^\p{L}\p{N}\s])"
+TOKEN = r"(?U)(?:\p{L}+(?:['’]\p{L}+)*(?: ?[0-9](?:[0-9.,/]*[0-9])?)?|[0-9](?:[0-9.,/]*[0-9])?|\n|[^\p{L}\p{N}\s])"
 TERMINAL = r"(?U)(?:[.?!…](?<![0-9]\.)|[)\]}\"'»”>]|(?:-{2,}))\s*$"
 BROKEN = r"(?:<[^<>]{0,30}|&#?[A-Za-z0-9]{0,8}|\\(?:u[0-9A-Fa-f]{0,3})?|�)\s*$"
 
@@ -61,7 +61,11 @@ def tails(documents: DataFrame, doc_id: str, text: str, source: str) -> DataFram
     """Per non-blank text its ending: last tokens, lengths, marks."""
     t = F.col(text)
     ends_number = t.rlike(r"[0-9]\.\s*$")
-    tok = tokens(F.when(ends_number, F.regexp_replace(t, r"\.\s*$", "")).otherwise(t).substr(F.greatest(F.length(t) - 400, F.lit(1)), F.lit(401)))
+    whole = F.when(ends_number, F.regexp_replace(t, r"\.\s*$", "")).otherwise(t)
+    # The last two tokens are right as soon as a third one starts before them;
+    # else (long blanks, long tokens) the whole text is read.
+    near = tokens(whole.substr(F.greatest(F.length(whole) - 120, F.lit(1)), F.lit(121)))
+    tok = F.when((F.size(near) > 2) | (F.length(whole) <= 121), near).otherwise(tokens(whole))
     return (
         documents.where(t.isNotNull() & (F.trim(t) != ""))
         .select(
