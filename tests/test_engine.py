@@ -1,6 +1,7 @@
 """Operators with state, contracts and whole runs."""
 
 import json
+import os
 from collections import Counter
 
 import pytest
@@ -270,8 +271,47 @@ def test_reassignment_modes(spark, vault):
     dealt = reassign.by_row(df, "subj", "seq", "_row_id")
     for subj, n in Counter(r.subj for r in dealt.collect()).items():
         assert sorted(r.seq for r in dealt.where(F.col("subj") == subj).collect()) == list(range(1, n + 1))
-    with pytest.raises(VaultError):
-        vault.derangement(_ids(spark, ["only"]), "lonely")
+    lone = vault.derangement(_ids(spark, ["only"]), "lonely").first()
+    assert lone.donor == lone.recipient == "only"
+    # A later drop adds one subject: the earlier pairs stay.
+    before = dict(vault.derangement(_ids(spark, ["a", "b", "c"]), "grows").collect())
+    after = dict(vault.derangement(_ids(spark, ["a", "b", "c", "d"]), "grows").collect())
+    assert after == before | {"d": "d"}
+
+
+def test_reassignment_moves_written_dates_and_pins_the_days(spark, vault):
+    forms = ["12-Mar-2024", "2024-03-12T08:30", "12/03/2024", "2024-03", "UN-MAR-2024", "soon", None, "2024-03-12", "31/12/2023"]
+    data = [(f"s{i % 2}", f, i) for i, f in enumerate(forms)]
+    df = spark.createDataFrame(data, "subj string, d string, _row_id long")
+    ref = spark.createDataFrame([("s0", "2024-01-01"), ("s1", "2024-01-11")], "subject string, anchor string")
+    moved = {r._row_id: r.d for r in reassign.by_subject(df, "subj", ["d"], ref, vault, "written").collect()}
+    assert moved == {
+        0: "22-Mar-2024", 1: "2024-03-02T08:30", 2: "22/03/2024", 3: "2024-03", 4: "UN-MAR-2024", 5: "soon", 6: None, 7: "2024-03-02", 8: "10/01/2024",
+    }
+    # A reference date corrected later changes no day that is already out.
+    late = spark.createDataFrame([("s0", "2020-05-05"), ("s1", "2024-01-11")], "subject string, anchor string")
+    again = {r._row_id: r.d for r in reassign.by_subject(df, "subj", ["d"], late, vault, "written").collect()}
+    assert again == moved
+
+
+def test_no_original_rests_in_clear(spark, tmp_path):
+    path = str(tmp_path / "sealed")
+    vault = Vault(spark, path, bytes(range(32)))
+    secrets_of = ["SECRET-0001", "SECRET-0002", "SECRET-0003"]
+    own = vault.surrogates(_ids(spark, secrets_of), "subject", "SUBJ")
+    days = vault.offsets(_ids(spark, secrets_of))
+    pairs = vault.derangement(_ids(spark, secrets_of), "all")
+    texts = vault.text_dummies(_ids(spark, secrets_of))
+    assert own.count() == days.count() == pairs.count() == texts.count() == 3
+    for folder, _, names in os.walk(path):
+        for name in names:
+            content = open(os.path.join(folder, name), "rb").read()
+            assert not any(s.encode() in content for s in secrets_of), (folder, name)
+            if name.endswith(".parquet"):
+                rows = spark.read.parquet(os.path.join(folder, name)).collect()
+                assert not any(str(v) in secrets_of for r in rows for v in r)
+    assert vault.sweep() > 0 and vault.sweep() == 0
+    assert vault.surrogates(_ids(spark, secrets_of), "subject", "SUBJ").count() == 3
 
 
 def test_templates_and_anchors(spark):

@@ -69,6 +69,10 @@ def test_zip3(spark, value, want):
         ("25-Sep-2023", None, 10, "05-Oct-2023"), ("07JUL2023", None, 1, "08JUL2023"), ("3/4/2024", "dmy", 1, "4/4/2024"), ("03/04/2024", "mdy", 30, "04/03/2024"),
         ("03/04/2024", None, 1, None), ("2024-03-05T10:30", None, 1, "2024-03-06T10:30"), ("2015", None, 200, "2016"), ("Mar-2015", None, 30, "Apr-2015"),
         ("UN-JAN-2012", None, 31, "UN-FEB-2012"), ("2012-UN-UN", None, 365, "2013-UN-UN"), ("19/13/2024", "dmy", 1, None), ("2025-02-30", None, 1, None),
+        ("UN/03/2020", "dmy", 200, "UN/10/2020"), ("UN/03/2020", "mdy", 200, None), ("UN/03/2020", None, 200, None), ("03/UN/2020", "mdy", 200, "10/UN/2020"),
+        ("15/UN/2020", "dmy", 200, None), ("00/03/2020", "dmy", 200, "00/10/2020"), ("UNK/UNK/2019", None, 365, "UNK/UNK/2020"), ("2020-03-00", None, 200, "2020-10-00"),
+        ("2020-01-02T10:30", None, 200, "2020-07-20T10:30"), ("2020-01-02T10:30 and later", None, 200, None), ("2020-01-02 10:30:05.5+0200", None, 200, "2020-07-20 10:30:05.5+0200"),
+        ("1/2/2020T10:30", "dmy", 200, "19/8/2020T10:30"), ("03MAR2020:10:20", None, 200, "19SEP2020:10:20"), ("3 Mar 2020 10:20 or so", None, 200, None),
         ("20240105", None, 1, "20240106"), ("1.9.2024", "dmy", 30, "1.10.2024"), ("5 September 2023", None, 30, "5 October 2023"), ("junk", "dmy", 1, None),
     ],
 )

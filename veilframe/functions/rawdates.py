@@ -28,26 +28,31 @@ MONTHS = [
 ]
 _MON = r"(?P<mon>jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 _UN = r"(?:UNK|UN|UK|NK|XX|--|00)"
-_TIME = r"\s+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:\s*[AaPp][Mm])?"
-#: First match wins.  ``a``/``b`` need a declared order.
+_CLOCK = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?"
+#: What may follow a clock: half of the day or a zone, and nothing else.
+_AFTER = r"(?:\s*[AaPp]\.?[Mm]\.?)?(?:\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2}))?"
+_TIME = rf"[T\s]\s*{_CLOCK}{_AFTER}"
+_SLOT = rf"(?:\d{{1,2}}|{_UN})"
+#: First match wins.  ``a``/``b`` are day and month in the declared order.
 _PATTERNS = [
     re.compile(p, re.I)
     for p in (
-        r"(?P<y>\d{4})-(?P<m>\d{2})-(?P<d>\d{2})(?P<tail>[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?.*)?",
+        rf"(?P<y>\d{{4}})-(?P<m>\d{{2}})-(?P<d>\d{{2}})(?P<tail>{_TIME})?",
         rf"(?P<a>\d{{1,2}})([/.\-])(?P<b>\d{{1,2}})\2(?P<y>\d{{4}})(?P<tail>{_TIME})?",
         r"(?P<y>\d{4})-(?P<m>\d{2})",
         r"(?P<y>(?:19|20)\d{2})",
         r"(?P<y>(?:19|20)\d{2})(?P<m>0[1-9]|1[0-2])(?P<d>0[1-9]|[12]\d|3[01])",
-        r"(?P<y>\d{4})/(?P<m>\d{1,2})/(?P<d>\d{1,2})",
-        rf"(?P<d>\d{{1,2}})[-\s]?{_MON}[-\s,]?\s?(?P<y>\d{{4}})(?P<tail>[: ]\d{{1,2}}:\d{{2}}.*)?",
+        rf"(?P<y>\d{{4}})/(?P<m>\d{{1,2}})/(?P<d>\d{{1,2}})(?P<tail>{_TIME})?",
+        rf"(?P<d>\d{{1,2}})[-\s]?{_MON}[-\s,]?\s?(?P<y>\d{{4}})(?P<tail>[:T\s]\s*{_CLOCK}{_AFTER})?",
         rf"{_MON}[-\s]?(?P<y>\d{{4}})",
         rf"{_UN}[-/ .]?{_MON}[-/ .]?(?P<y>\d{{4}})",
-        rf"{_UN}[-/ .]?(?:{_UN})[-/ .]?(?P<y>\d{{4}})",
+        rf"{_UN}([-/ .]?){_UN}\1(?P<y>\d{{4}})",
         rf"(?P<y>\d{{4}})[-/](?P<m>\d{{2}})[-/]{_UN}",
         rf"(?P<y>\d{{4}})[-/]{_UN}(?:[-/]{_UN})?",
-        rf"{_UN}[-/.](?P<m>\d{{1,2}})[-/.](?P<y>\d{{4}})",
+        rf"(?P<a>{_SLOT})([-/.])(?P<b>{_SLOT})\2(?P<y>\d{{4}})",
     )
 ]
+_UNKNOWN = re.compile(_UN, re.I)
 WRITTEN = "struct<value:string,status:string>"
 
 
@@ -64,6 +69,12 @@ def read(value: str, order: str | None) -> tuple[dict[str, tuple[int, int, str]]
             if order not in ("dmy", "mdy"):
                 return None
             part["d"], part["m"] = (part.pop("a"), part.pop("b")) if order == "dmy" else (part.pop("b"), part.pop("a"))
+            day_unknown, month_unknown = (_UNKNOWN.fullmatch(part[k][2]) is not None for k in ("d", "m"))
+            if month_unknown and not day_unknown:
+                return None  # a day cannot be moved without its month
+            for key, unknown in (("d", day_unknown), ("m", month_unknown)):
+                if unknown:
+                    del part[key]
         year = int(part["y"][2])
         if "mon" in part:
             month = next(i + 1 for i, n in enumerate(MONTHS) if n.lower().startswith(part["mon"][2].lower()[:3]))
@@ -162,7 +173,7 @@ def finish(value: Column, shifted: Column, on_unparsed: str) -> Column:
         return F.when(shifted["status"] == "unparsed", value).otherwise(shifted["value"])
     if on_unparsed == "redact":
         return F.when(unread, F.lit(None)).otherwise(shifted["value"])
-    shape = F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), "[A-Za-z]", "A")
+    shape = F.regexp_replace(F.regexp_replace(value, r"\p{Nd}", "9"), r"\p{L}", "A")
     return F.when(shifted["status"] == "unparsed", F.raise_error(F.concat(F.lit("unreadable date of shape "), shape))).otherwise(
         shifted["value"]
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veilframe.functions import rawdates
 from veilframe.functions.dates import shift_iso, whole_date
 from veilframe.operators.ordering import dense_index, shuffled
 from veilframe.operators.treatments import lookup
@@ -128,15 +129,33 @@ def rewritten(df: DataFrame, owner: str, rows: DataFrame, mirrors: dict[str, str
     return joined.withColumns(new).drop("_own", "_there", *[f"_new_{c}" for c in mirrors])
 
 
+def moved_date(df: DataFrame, column: str, days: Column, order: str | None = None) -> Column:
+    """A date moved in its own written form; what cannot be read stays as it is.
+
+    Plain ISO dates move in the JVM; only other forms go through the reader.
+    """
+    if order is None:
+        order = rawdates.infer_order(df, [column]).first()["day_order"]  # one row
+    text = F.col(column).cast("string")
+    iso = text.rlike(r"^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?$") & shift_iso(text, days).isNotNull()
+    written = rawdates.shift_written(F.when(~iso, text), days, order if order in ("dmy", "mdy") else None)
+    other = F.when(written["status"].isin("shifted", "partial_shifted"), written["value"]).otherwise(text)
+    new = F.when(iso, shift_iso(text, days)).otherwise(other)
+    return F.when(text.isNotNull() & (days != 0), new).otherwise(text)
+
+
 def by_subject(
     df: DataFrame, subject: str | None, dates: list[str], references: DataFrame, vault: Vault, group: str = "all",
     rows: DataFrame | None = None, key: Column | None = None, mirrors: dict[str, str] | None = None,
+    orders: dict[str, str | None] | None = None,
 ) -> DataFrame:
     """All records of a donor go to one recipient; dates move with the references.
 
-    ``references`` is (subject, anchor).  Study days stay what they were.  A
-    donor or recipient without a reference date keeps the written dates, and
-    the vault pins that for later runs.  ``rows`` (see ``subject_rows``) is the
+    ``references`` is (subject, anchor).  Study days stay what they were.  Dates
+    move in their own written form (``orders`` names the day order of a column,
+    else it is inferred); one that cannot be read stays as written.  A donor or
+    recipient without a reference date keeps the written dates; the vault pins
+    that, and every other move, for later runs.  ``rows`` (see ``subject_rows``) is the
     anchor table: columns that mirror it get the recipient's values.
     ``mirrors`` may be given where they are known.  ``key`` names the subject
     where one column alone does not.
@@ -157,14 +176,16 @@ def by_subject(
         there = moves.select(F.col("donor").alias("subject"), F.col("_delta").cast("string").alias("anchor"))
         vault.settle_unanchored(group, donors, there)
         pinned = vault.is_unanchored(group, donors).withColumn("_pinned", F.lit(True))
-        moves = cut(moves.join(pinned, "donor", "left").withColumn("_delta", F.when(F.col("_pinned").isNull(), F.col("_delta"))).drop("_pinned"))
+        moves = moves.join(pinned, "donor", "left").withColumn("_delta", F.when(F.col("_pinned").isNull(), F.col("_delta"))).drop("_pinned")
+        deltas = vault.pinned_deltas(group, moves.select("donor", F.col("_delta").alias("delta")))
+        moves = cut(moves.drop("_delta").join(deltas.withColumnRenamed("delta", "_delta"), "donor", "left"))
     moved = df.withColumn("_donor", key).join(lookup(moves), F.col("_donor") == F.col("donor"), "left")
     lost = moved.where(F.col("_donor").isNotNull() & F.col("recipient").isNull())
     if not lost.isEmpty():
         raise ReassignError("records without a recipient")
     delta = F.coalesce("_delta", F.lit(0))
     for column in dates:
-        moved = moved.withColumn(column, F.coalesce(shift_iso(F.col(column), delta), F.col(column)))
+        moved = moved.withColumn(column, moved_date(df, column, delta, (orders or {}).get(column)))
     if rows is not None:
         moved = rewritten(moved, "recipient", rows, mirrors)
     if subject and subject not in (mirrors or {}):

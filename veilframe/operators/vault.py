@@ -6,8 +6,10 @@ the plans only as columns of a one-row table, never as literals.
 
 Random draws are made once: candidates are written to a staging folder and read
 back before anything depends on them, so a task that runs again cannot change a
-stand-in.  A commit moves the staged folder to its final name; a reader sees
-whole commits only.  One writer at a time.
+stand-in.  Staged originals are encrypted like committed ones; ``sweep`` removes
+the staging folders once the tables made from them are written.  A commit moves
+the staged folder to its final name; a reader sees whole commits only.  One
+writer at a time.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ ALPHABET = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
 BODY, ROUNDS, MIN_SPACE = 8, 64, 64
 DAYS = (180, 540)
 DESTROY = "DESTROY CROSSWALK"
+#: Columns of staged rows that hold originals.
+CLEAR = ("value", "donor", "head")
 SCHEMAS = {
     "surrogate": "entity string, lookup string, original binary, surrogate string, issued_at string",
     "seen_original": "entity string, lookup string",
@@ -129,10 +133,23 @@ class Vault:
         files.rename(self.spark, staged, f"{self.path}/{table}/{name}")
 
     def _stage(self, rows: DataFrame) -> DataFrame:
-        """Write and read back: whatever was drawn is now fixed."""
+        """Write and read back: whatever was drawn is now fixed.  Originals rest encrypted."""
         at = f"{self.path}/_staging/draw-{uuid.uuid4().hex}"
-        rows.write.parquet(at)
-        return self.spark.read.parquet(at)
+        clear = [c for c in rows.columns if c in CLEAR]
+        if not clear:
+            rows.write.parquet(at)
+            return self.spark.read.parquet(at)
+        sealed = {c: F.aes_encrypt(F.encode(F.col(c).cast("string"), "UTF-8"), F.col("_key"), F.lit("GCM")) for c in clear}
+        self.keyed(rows).withColumns(sealed).select(*rows.columns).write.parquet(at)
+        opened = {c: F.decode(F.aes_decrypt(F.col(c), F.col("_key"), F.lit("GCM")), "UTF-8") for c in clear}
+        return self.keyed(self.spark.read.parquet(at)).withColumns(opened).select(*rows.columns)
+
+    def sweep(self) -> int:
+        """Deletes the staging folders; for when every table made from them is written."""
+        folders = [n for n, is_dir in files.listing(self.spark, f"{self.path}/_staging") if is_dir and n.startswith("draw-")]
+        for name in folders:
+            files.delete(self.spark, f"{self.path}/_staging/{name}")
+        return len(folders)
 
     def keyed(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("_one", F.lit(1)).join(F.broadcast(self._keys), "_one").drop("_one")  # one row
@@ -301,15 +318,14 @@ class Vault:
     def derangement(self, subjects: DataFrame, group: str) -> DataFrame:
         """(donor, recipient): one random cycle through the new subjects of a group.
 
-        Earlier pairs stay; a single new subject cannot be moved and raises.
+        Earlier pairs stay.  A single new subject has no one to change places
+        with and keeps its own records; ``unmoved`` in the run's report counts it.
         """
         distinct = subjects.toDF("donor").where(F.col("donor").isNotNull()).distinct()
         wanted = self._stage(self.with_lookup(distinct, "donor", f"reassign:{group}", "donor_lookup"))
         done = self.read("reassignment").where(F.col("grp") == group)
         new = wanted.join(done, "donor_lookup", "left_anti")
         n = new.count()
-        if n == 1:
-            raise VaultError("one subject alone cannot take another's place")
         if n:
             def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for batch in batches:
@@ -328,6 +344,20 @@ class Vault:
         opened = F.decode(F.aes_decrypt(F.col("recipient"), F.col("_key"), F.lit("GCM")), "UTF-8")
         return pairs.select("donor", opened.alias("recipient"))
 
+    def pinned_deltas(self, group: str, moves: DataFrame) -> DataFrame:
+        """(donor, delta): the days each donor's records move, fixed when both dates were first known.
+
+        ``moves`` is (donor, delta); what an earlier run pinned wins, so a
+        reference date corrected later moves no record that is already out.
+        A donor without a delta (an unknown date) is not pinned here.
+        """
+        wanted = self._stage(self.with_lookup(moves.select(F.col("donor"), F.col("delta").cast("int").alias("delta")), "donor", f"reassign:{group}", "donor_lookup"))
+        known = self.read("reassignment").where(F.col("grp") == f"{group}:delta").select("donor_lookup", F.col("delta").alias("_known"))
+        new = self._stage(wanted.where(F.col("delta").isNotNull()).join(known, "donor_lookup", "left_anti").select("donor_lookup", "delta"))
+        if not new.isEmpty():
+            self.append("reassignment", new.select(F.lit(f"{group}:delta").alias("grp"), "donor_lookup", F.lit(None).cast("binary").alias("recipient"), "delta"))
+        return wanted.join(known, "donor_lookup", "left").select("donor", F.coalesce("_known", "delta").alias("delta"))
+
     def labelled(self, entity: str) -> DataFrame:
         """(original, label) of a treatment namespace; these name no person, so nothing is logged."""
         if not entity.startswith("treatment"):

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from veilframe.functions import dates, numbers, rawdates, text
+from veilframe.functions.naming import move_group
 from veilframe.operators import blinding, detect, reassign, risk, treatments
 from veilframe.operators.vault import Vault, dummy_column
 from veilframe.plans.contract import NEEDS_ANCHOR, NEEDS_VAULT, Contract, ContractError, Domain, Rule
@@ -209,6 +210,8 @@ class Pipeline:
         """The moved records and a report of counts."""
         df, a = study[d.name], self.contract.anchor
         key = self._key(d, df)
+        # Tables of one kind change owners together, every kind on its own.
+        group = move_group(d.name) or d.name
         if key is None:
             raise ContractError(f"{d.name}: reassigning needs a subject key")
         shifting = [r.column for r in d.rules if r.column in df.columns and (r.is_date or r.column.upper().endswith("DTC"))]
@@ -223,7 +226,8 @@ class Pipeline:
                 mirrors.pop(d.subject_key, None)  # the recipient itself
             elif own:
                 raise ContractError(f"{d.name}: records with a composed key need an anchor table that is not moved")
-            moved = reassign.by_subject(df, d.subject_key, shifting, references, self.vault, rows=rows, key=key, mirrors=mirrors)
+            orders = {r.column: r.date_order for r in d.rules if r.date_order}
+            moved = reassign.by_subject(df, d.subject_key, shifting, references, self.vault, group, rows, key, mirrors, orders)
         else:
             mirrors.pop(d.subject_key, None)
             plain = [c for c in df.columns if c not in (d.subject_key, ROW, *shifting, *mirrors)]
@@ -237,10 +241,15 @@ class Pipeline:
             moved = cut(reassign.rewritten(owner, "_owner", rows, mirrors).drop("_owner"))
         counts = reassign.report(df.withColumn("_key", key), moved.withColumn("_key", key), "_key", references).first().asDict()
         if d.reassign_mode == "subjects" and shifting:
-            counts["n_kept_dates"] = self.vault.is_unanchored("all", df.select(key).where(key.isNotNull())).count()
+            counts["n_kept_dates"] = self.vault.is_unanchored(group, df.select(key).where(key.isNotNull())).count()
             if counts["n_kept_dates"]:
                 notes.append(f"{d.name}: {counts['n_kept_dates']} subjects keep their dates as written; derive study days again")
-        return moved, {"mode": d.reassign_mode, "mirrors": sorted(mirrors)} | counts
+        if d.reassign_mode == "subjects":
+            pairs = self.vault.derangement(df.select(key), group)
+            counts["n_unmoved"] = pairs.where("donor = recipient").count()
+            if counts["n_unmoved"]:
+                notes.append(f"{d.name}: {counts['n_unmoved']} subjects had no one to change places with and keep their records")
+        return moved, {"mode": d.reassign_mode, "group": group, "mirrors": sorted(mirrors)} | counts
 
     def _blind_terms(self, study: dict[str, DataFrame]) -> list[str]:
         values, keep = [], []
