@@ -27,7 +27,7 @@ VALUES = [
 
 @pytest.mark.parametrize(("value", "entry"), VALUES)
 def test_value_means_entry(value, entry):
-    assert canonical.Canonical(TERMS).best(value)[0] == entry
+    assert canonical.Canonical(TERMS).best(value) == entry
 
 
 def _distance(a, b):
@@ -50,6 +50,9 @@ def test_automaton_returns_exactly_the_words_within_distance():
         q = "".join(r.choice("abcd") for _ in range(r.randrange(1, 8)))
         want = {w: _distance(q, w) for w in words if _distance(q, w) <= 2}
         assert {trie.words[k]: int(d) for k, d in trie.within(q, 2).items()} == want
+    many = ["".join(r.choice("abcd") for _ in range(r.randrange(0, 9))) for _ in range(50)]
+    for q, found in zip(many, trie.within_many(many, [k % 4 for k in range(50)])):
+        assert found == trie.within(q, many.index(q) % 4) or many.count(q) > 1
 
 
 def test_mapping_over_rows_and_blocks(spark, monkeypatch):

@@ -30,6 +30,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,8 @@ EDIT_WEIGHT = 3
 SOUND_COST, STRAY_COST = 1.5, 0.5
 #: Largest distance of a word that sounds alike (one less for short words and uneven lengths).
 SOUND_EDITS = 4
+#: Queries that walk a trie together.
+QUERIES = 1024
 #: Score under which an entry is only taken if none fits written without blanks,
 #: and under which it is not taken at all.
 WEAK, LEAST = 6, -2
@@ -110,9 +113,13 @@ class Trie:
     def __init__(self) -> None:
         self.root: list = [{}, -1]
         self.words: list[str] = []
+        self.letters: set[str] = set()
+        self.longest = 0
 
     def add(self, word: str) -> int:
         node = self.root
+        self.letters.update(word)
+        self.longest = max(self.longest, len(word))
         for c in word:
             node = node[0].setdefault(c, [{}, -1])
         if node[1] < 0:
@@ -121,38 +128,58 @@ class Trie:
         return node[1]
 
     def within(self, query: str, most: int) -> dict[int, float]:
-        """Words whose alignment distance to ``query`` is at most ``most``.
+        """Words whose alignment distance to ``query`` is at most ``most``."""
+        return self.within_many([query], [most])[0]
 
-        Only the band of states within ``most`` of the diagonal is kept.
+    def within_many(self, queries: list[str], most: list[int]) -> list[dict[int, float]]:
+        """Words within each query's own distance.
+
+        One walk of the trie serves all queries: the automaton's state is one
+        row per query (edits by letters read), a step along a letter moves all
+        rows at once, and a branch is left by the queries it can no longer serve.
         """
-        n, found, far = len(query), {}, most + 1
-        alike = [LOOKS_LIKE.get(q, "") for q in query]
-        first = [min(i, far) for i in range(n + 1)]
-        stack = [(child, c, "", first, None, 1, 0) for c, child in self.root[0].items()]
+        found: list[dict[int, float]] = [{} for _ in queries]
+        fits = [k for k, q in enumerate(queries) if len(q) <= self.longest + most[k]]
+        for at in range(0, len(fits), QUERIES):
+            self._walk(queries, most, fits[at : at + QUERIES], found)
+        return found
+
+    def _walk(self, queries: list[str], most: list[int], chosen: list[int], found: list[dict[int, float]]) -> None:
+        n = max((len(queries[k]) for k in chosen), default=0)
+        letters = np.zeros((len(chosen), n), np.int32)
+        for row, k in enumerate(chosen):
+            letters[row, : len(queries[k])] = [ord(c) for c in queries[k]]
+        length = np.array([len(queries[k]) for k in chosen])
+        bound = np.array([most[k] for k in chosen], np.int16)
+        # Which letters of each query are, or look like, a letter of the trie.
+        same = {c: letters == ord(c) for c in self.letters}
+        like = {c: np.logical_or.reduce([same[c], *[letters == ord(d) for d, options in LOOKS_LIKE.items() if c in options]]) for c in self.letters}
+        steps = np.arange(n + 1, dtype=np.int16)
+        first = np.broadcast_to(steps, (len(chosen), n + 1))
+        every = np.arange(len(chosen))
+        stack = [(child, c, "", every, first, first, 1) for c, child in self.root[0].items()]
         while stack:
-            node, c, before, row, above, depth, row_least = stack.pop()
-            low, high = max(1, depth - most), min(n, depth + most)
-            new = [far] * (n + 1)
-            least = new[0] = min(depth, far)
-            for i in range(low, high + 1):
-                q = query[i - 1]
-                cost = row[i - 1] if q == c or c in alike[i - 1] else row[i - 1] + 1
-                if row[i] < cost:
-                    cost = min(cost, row[i] + 1)
-                if new[i - 1] < cost:
-                    cost = min(cost, new[i - 1] + 1)
-                if above is not None and i > 1 and q == before and query[i - 2] == c and above[i - 2] + 1 < cost:
-                    cost = above[i - 2] + 1
-                if cost < far:
-                    new[i] = cost
-                    if cost < least:
-                        least = cost
-            if node[1] >= 0 and new[n] <= most:
-                found[node[1]] = float(new[n])
+            node, c, before, who, row, above, depth = stack.pop()
+            new = np.empty_like(row)
+            new[:, 0] = depth
+            np.minimum(row[:, :-1] + ~like[c][who], row[:, 1:] + 1, out=new[:, 1:])
+            if depth > 1 and n > 1:
+                swapped = same[before][who, 1:] & same[c][who, :-1]
+                np.minimum(new[:, 2:], above[:, :-2] + 1, out=new[:, 2:], where=swapped)
+            new = np.minimum.accumulate(new - steps, 1) + steps
+            if node[1] >= 0:
+                last = new[np.arange(len(who)), length[who]]
+                for k in np.flatnonzero(last <= bound[who]):
+                    found[chosen[who[k]]][node[1]] = float(last[k])
+            if not node[0]:
+                continue
             # The row above still counts for one step, through a swapped pair.
-            if least <= most or row_least < most:
-                stack += [(child, d, c, new, row, depth + 1, least) for d, child in node[0].items()]
-        return found
+            alive = (new.min(1) <= bound[who]) | (row.min(1) < bound[who])
+            if not alive.any():
+                continue
+            if not alive.all():
+                who, new, row = who[alive], new[alive], row[alive]
+            stack += [(child, d, c, who, new, row, depth + 1) for d, child in node[0].items()]
 
     def find(self, word: str) -> int:
         """Number of a word of the trie, -1 if it is none."""
@@ -209,42 +236,53 @@ class Words:
             for key in sound(word, reference=True) if len(word) > 3 else ():
                 self.sounds.setdefault(key, []).append(number)
 
+    def learn(self, words: set[str]) -> None:
+        """Settles what new written words may mean, in one walk."""
+        new = sorted(w for w in words if w not in self.memo)
+        if len(self.memo) > 500_000:
+            self.memo.clear()
+            new = sorted(words)
+        walked = [w for w in new if w not in QUALIFIERS]
+        most = [max(budget(len(w) + 3) + (len(w) > 4), SOUND_EDITS if len(w) > 3 else 0) for w in walked]
+        near = dict(zip(walked, self.letters.within_many(walked, most)))
+        for word in new:
+            if word in QUALIFIERS:
+                exact = self.letters.find(word)
+                self.memo[word] = [(exact, 0.0, 0)] if exact >= 0 else []
+            else:
+                self.memo[word] = self._readings(word, near[word])
+
     def readings(self, word: str) -> list[tuple[int, float, int]]:
         """Reference words a written word may mean: (word, cost, edits over budget).
 
         One edit over the budget is allowed once in an entry of several words.
         """
-        known = self.memo.get(word)
-        if known is None and word in QUALIFIERS:
-            exact = self.letters.find(word)
-            known = self.memo[word] = [(exact, 0.0, 0)] if exact >= 0 else []
-        if known is None:
-            options: dict[int, tuple[float, int]] = {}
-            names = self.letters.words
-            near = self.letters.within(word, max(budget(len(word) + 3) + (len(word) > 4), SOUND_EDITS if len(word) > 3 else 0))
-            alike = {w for key in sound(word) if len(key[0]) > 1 for w in self.sounds.get(key, ())} if len(word) > 3 else set()
-            for w, edits in near.items():
-                over = edits - budget(len(names[w]))
-                if w in self.exact and edits:
-                    continue
-                if over <= 0:
-                    options[w] = (edits, 0)
-                elif w in alike and edits <= SOUND_EDITS - (len(word) < 6 or abs(len(word) - len(names[w])) > 1):
-                    options[w] = (SOUND_COST, 0)
-                elif over == 1 and len(word) > 4 and len(names[w]) > 4:
-                    options[w] = (edits, 1)
-            if len(word) >= SHORT_WORD:
-                for w in self.letters.below(word):
-                    if w not in options or options[w][0] > SHORT_COST:
-                        options[w] = (SHORT_COST, 0)
-            if any(c == 0 for c, _ in options.values()):
-                # A word of the list means itself, not a neighbour.
-                options = {w: (c, o) for w, (c, o) in options.items() if c == 0}
-            known = sorted(((w, c, o) for w, (c, o) in options.items()), key=lambda x: x[1])
-            if len(self.memo) > 500_000:
-                self.memo.clear()
-            self.memo[word] = known
-        return known
+        if word not in self.memo:
+            self.learn({word})
+        return self.memo[word]
+
+    def _readings(self, word: str, near: dict[int, float]) -> list[tuple[int, float, int]]:
+        options: dict[int, tuple[float, int]] = {}
+        names = self.letters.words
+        alike = {w for key in sound(word) if len(key[0]) > 1 for w in self.sounds.get(key, ())} if len(word) > 3 else set()
+        for w, edits in near.items():
+            over = edits - budget(len(names[w]))
+            if w in self.exact and edits:
+                continue
+            if over <= 0:
+                options[w] = (edits, 0)
+            elif w in alike and edits <= SOUND_EDITS - (len(word) < 6 or abs(len(word) - len(names[w])) > 1):
+                options[w] = (SOUND_COST, 0)
+            elif over == 1 and len(word) > 4 and len(names[w]) > 4:
+                options[w] = (edits, 1)
+        if len(word) >= SHORT_WORD:
+            for w in self.letters.below(word):
+                if w not in options or options[w][0] > SHORT_COST:
+                    options[w] = (SHORT_COST, 0)
+        if any(c == 0 for c, _ in options.values()):
+            # A word of the list means itself, not a neighbour.
+            options = {w: (c, o) for w, (c, o) in options.items() if c == 0}
+        return sorted(((w, c, o) for w, (c, o) in options.items()), key=lambda x: (x[1], x[0]))
 
 
 class Canonical:
@@ -300,47 +338,64 @@ class Canonical:
                         stack.append((node, at + 1, cost + STRAY_COST, letters, depth, over))
         return best
 
-    def without_blanks(self, words: list[str]) -> dict[int, float]:
-        """Entries written in one, or cut into other words than theirs."""
-        best: dict[int, float] = {}
+    def _windows(self, words: list[str]) -> Iterator[tuple[int, int, str]]:
+        """(start, end, text) of consecutive words written in one."""
         for start in range(len(words)):
             text = ""
             for end in range(start + 1, len(words) + 1):
                 text += words[end - 1]
                 if len(text) > self.longest:
                     break
-                if len(text) < 6:
+                if len(text) > 5:
+                    yield start, end, text
+
+    def learn(self, values: list[list[str]]) -> None:
+        """Settles all windows of new values in one walk."""
+        if len(self.near) > 200_000:
+            self.near.clear()
+        new = sorted({t for words in values for _, _, t in self._windows(words) if t not in self.near})
+        self.near.update(zip(new, self.joined.within_many(new, [joined_budget(len(t)) for t in new])))
+
+    def without_blanks(self, words: list[str]) -> dict[int, float]:
+        """Entries written in one, or cut into other words than theirs."""
+        best: dict[int, float] = {}
+        for start, end, text in self._windows(words):
+            if text not in self.near:
+                self.learn([words])
+            plain = end == start + 1 or not QUALIFIERS.isdisjoint(words[start:end])
+            for number, cost in self.near[text].items():
+                if plain and number in self.single:
                     continue
-                plain = end == start + 1 or not QUALIFIERS.isdisjoint(words[start:end])
-                near = self.near.get(text)
-                if near is None:
-                    if len(self.near) > 200_000:
-                        self.near.clear()
-                    near = self.near[text] = self.joined.within(text, joined_budget(len(text)))
-                for number, cost in near.items():
-                    if plain and number in self.single:
-                        continue
-                    for entry in self.whole[number]:
-                        score = len(text) - EDIT_WEIGHT * cost
-                        best[entry] = max(best.get(entry, -1e9), score)
+                for entry in self.whole[number]:
+                    score = len(text) - EDIT_WEIGHT * cost
+                    best[entry] = max(best.get(entry, -1e9), score)
         return best
 
+    def candidates_of(self, values: list[str | None]) -> list[dict[int, float]]:
+        """Per value every entry within distance of it with its score."""
+        folded = [fold(v) if v else [] for v in values]
+        self.words.learn({w for words in folded for w in words})
+        walked = [self.walked(words) for words in folded]
+        weak = [k for k, best in enumerate(walked) if not best or max(best.values()) < WEAK]
+        self.learn([folded[k] for k in weak])
+        for k in weak:
+            for entry, score in self.without_blanks(folded[k]).items():
+                walked[k][entry] = max(walked[k].get(entry, -1e9), score)
+        return [{e: s for e, s in best.items() if s >= LEAST} for best in walked]
+
     def candidates(self, value: str | None) -> dict[int, float]:
-        """Every entry within distance of a value with its score."""
-        words = fold(value) if value else []
-        best = self.walked(words)
-        if not best or max(best.values()) < WEAK:
-            for entry, score in self.without_blanks(words).items():
-                best[entry] = max(best.get(entry, -1e9), score)
-        return {e: s for e, s in best.items() if s >= LEAST}
-
-    def best(self, *values: str | None) -> tuple[int, float]:
-        """(entry, score) of the first value that means exactly one entry, else -1."""
-        for value in values:
-            found = leaders(self.candidates(value))
-            if found and (len(found) == 1 or found[0][1] > found[1][1]):
-                return found[0]
-        return -1, -1e9
+        return self.candidates_of([value])[0]
+
+    def meant(self, values: list[str | None]) -> list[int]:
+        """The one entry each value means, or -1."""
+        out = []
+        for found in map(leaders, self.candidates_of(values)):
+            out.append(found[0][0] if found and (len(found) == 1 or found[0][1] > found[1][1]) else -1)
+        return out
+
+    def best(self, *values: str | None) -> int:
+        """The entry of the first value that means exactly one, or -1."""
+        return next((e for e in self.meant(list(values)) if e >= 0), -1)
 
 
 def leaders(found: dict[int, float]) -> list[tuple[int, float]]:
@@ -384,15 +439,14 @@ def map_values(rows: DataFrame, keys: list[str], values: list[str], reference: D
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canonical = Canonical(shared.value)
-        memo: dict[tuple, int] = {}
         for batch in batches:
-            found = []
-            for told in zip(*[batch[c] for c in columns]):
-                if (known := memo.get(told)) is None:
-                    if len(memo) > 200_000:
-                        memo.clear()
-                    known = memo[told] = canonical.best(*told)[0]
-                found.append(known)
+            found = np.full(len(batch), -1, np.int64)
+            for c in columns:  # the next column decides where the one before says nothing
+                codes, told = pd.factorize(batch[c])
+                asked = np.unique(codes[(found < 0) & (codes >= 0)])
+                means = np.full(len(told) + 1, -1, np.int64)  # the last one: null
+                means[asked] = canonical.meant([told[k] for k in asked])
+                found = np.where(found < 0, means[codes], found)
             yield batch[keys].assign(entry_id=found)
 
     return narrow.mapInPandas(match, f"{schema}, entry_id long")
@@ -416,6 +470,8 @@ def _map_in_blocks(narrow: DataFrame, keys: list[str], columns: list[str], entri
             canonical = Canonical(shared.value, words.value)
             for batch in batches:
                 folded = [fold(v) for v in batch["_value"]]
+                words.value.learn({w for f in folded for w in f})
+                canonical.learn(folded)
                 found = [(leaders(canonical.walked(w)), leaders(canonical.without_blanks(w))) for w in folded]
                 for k, side in enumerate(("walked", "joined")):
                     batch[side] = [[{"e": e, "s": s} for e, s in f[k]] for f in found]
