@@ -2,7 +2,9 @@
 
 import json
 import random
+from collections import Counter
 from datetime import date, datetime, timedelta
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -28,7 +30,7 @@ def _refs(spark, data):
     return orphans.references({"ae": df}, "usubjid", "loaded_at", "rec_id")
 
 
-@pytest.mark.parametrize(("heavy", "broadcast"), [(10**6, 10**6), (3, 10**6), (3, 1)])
+@pytest.mark.parametrize(("heavy", "broadcast"), [(10**6, 10**6), (3, 10**6), (3, 1), (10**6, 0), (0, 0), (None, 10**6)])
 def test_orphans_match_brute_force_on_every_path(spark, heavy, broadcast):
     r = random.Random(5)
     keys = ["A", " a", "B", "b ", "C", "HOT", "hot"]
@@ -40,14 +42,19 @@ def test_orphans_match_brute_force_on_every_path(spark, heavy, broadcast):
 
     want = sorted(i for i, k, at, *_ in refs if k is not None and not alive(k.strip().upper(), at))
     spans = orphans.parent_spans(_parents(spark, parents), "usubjid", "loaded_at", "deleted_at")
-    got = orphans.orphans(_refs(spark, refs), spans, heavy, broadcast)
-    assert sorted(r.rec_id for r in got.collect()) == want
+    found = orphans.Orphans(_refs(spark, refs), spans, heavy, broadcast)
+    assert sorted(r.rec_id for r in found.rows().collect()) == want
+    month = {i: f"{at:%Y-%m}" for i, _, at, *_ in refs}
+    every = Counter(month[i] for i, k, *_ in refs if k is not None)
+    lost = Counter(month[i] for i in want)
+    assert {(r.period, r.n_refs, r.n_orphans) for r in found.report().collect()} == {(m, n, lost[m]) for m, n in every.items()}
 
 
 def test_orphans_empty_tables_and_nulls(spark):
     spans = orphans.parent_spans(_parents(spark, []), "usubjid", "loaded_at", "deleted_at")
     refs = _refs(spark, [(1, "A", T0, None, 0), (2, None, T0, None, 0), (3, "A", None, None, 0)])
     assert sorted(r.rec_id for r in orphans.orphans(refs, spans).collect()) == [1, 3]
+    assert {(r.period, r.n_refs, r.n_orphans) for r in orphans.Orphans(refs, spans).report().collect()} == {("2024-01", 1, 1), (None, 1, 1)}
     assert orphans.orphans(_refs(spark, []), spans).count() == 0
 
 
@@ -65,7 +72,7 @@ def test_profile_and_breaks(spark):
     df = spark.createDataFrame(data, "feed_id int, load_no int, x string, value string")
     prof = {(r.load_no, r.column_name): r for r in quality.profile(df, ["feed_id", "load_no"], ["x", "value"]).collect()}
     assert prof[1, "x"].n_rows == 10 and prof[1, "x"].n_unique == 2 and prof[1, "x"].numeric_rate == 1
-    assert abs(prof[1, "x"].mean - 6.0) < 1e-9 and float(prof[1, "x"].sum2) == 6 * 25 + 4 * 56.25
+    assert abs(prof[1, "x"].mean - 6.0) < 1e-9 and prof[1, "x"].sum2 == int((6 * 25 + 4 * 56.25) * 10**12)
     assert prof[3, "x"].numeric_rate is None and prof[3, "x"].null_rate == 1
     shifts = quality.shifts(quality.profile(df, ["feed_id", "load_no"], ["x", "value"]), "feed_id", "load_no")
     got = rows(quality.breaks(shifts, "feed_id", "load_no"))
@@ -81,12 +88,22 @@ def test_profile_and_breaks(spark):
 def test_profile_is_mergeable_and_survives_odd_values(spark):
     df = spark.createDataFrame([(1, 1, "1" * 30), (1, 1, ""), (1, 1, "x" * 100_000), (1, 1, "999999999999"), (1, 1, None)], "feed_id int, load_no int, x string")
     p = quality.profile(df, ["feed_id", "load_no"], ["x"])
-    assert p.first().n_unique == 4
-    both = quality.merged_power_sums([p, p], ["feed_id", "load_no"]).first()
-    assert both.n_numeric == 2 * p.first().n_numeric
+    assert p.first().n_unique == 4 and (p.first().n_numeric, p.first().n_outside) == (1, 1)
+    both = quality.merge_profiles(p.unionByName(p), ["feed_id"]).first()
+    assert both.n_numeric == 2 and both.n_rows == 2 * p.first().n_rows and abs(both.mean - 999999999999) < 1
     assert quality.profile(df.limit(0), ["feed_id", "load_no"], ["x"]).count() == 0
 
 
+def test_power_sums_round_nothing(spark):
+    values = ["0.0004", "0.000001", "12.5", "-3", "1e2", "0.1234567", "0.50000000"]
+    df = spark.createDataFrame([(1, 1, v) for v in values], "feed_id int, load_no int, x string")
+    p = quality.profile(df, ["feed_id", "load_no"], ["x"]).first()
+    kept = [Fraction(v) for v in values if v not in ("1e2", "0.1234567")]
+    assert (p.n_numeric, p.n_outside) == (5, 2)
+    assert p.sum1 == sum(kept) * 10**6 and p.sum2 == sum(x * x for x in kept) * 10**12
+    assert p.max_number == 100.0 and p.variance > 0
+
+
 @pytest.mark.parametrize(
     ("value", "day"),
     [("2025-01-15", True), ("03MAR2025", True), ("29/11/2024", True), ("12/29/2024", True), ("week 1", False), ("1745066760", False), ("2024-13-45", False), ("7.5", False)],
@@ -125,6 +142,13 @@ def test_intervals_match_brute_force(spark):
     assert rows(intervals.merge_intervals(df, "k", "lo", "hi")) == sorted(want)
 
 
+@pytest.mark.parametrize("span", [(-1, 3), (5, 2**22 - 1), (0, 2**40)])
+def test_intervals_outside_the_range_stop_the_run(spark, span):
+    df = spark.createDataFrame([("a", *span)], "k string, lo long, hi long")
+    with pytest.raises(Exception, match="outside"):
+        intervals.merge_intervals(df, "k", "lo", "hi").collect()
+
+
 def test_dyadic_blocks_are_minimal_and_cover():
     r = random.Random(8)
     for _ in range(200):
@@ -201,6 +225,39 @@ def test_drift_scripts_and_one_table(spark):
     assert rows(drift.edit_scripts(rules, data.limit(0)).where("change_type = 'renamed'")) == []
 
 
+def test_columns_that_would_share_a_name_stay_apart(spark):
+    rules = [(1, 5, 1, "AE", n) for n in ("x", "y")] + [(2, 5, 2, "AE", "x")] + [(3, 5, 3, "AE", "y")] + [(4, 5, 4, "AE", "z")]
+    data = []
+    for k in range(8):
+        data += [(1, k, f'{{"x": "v{k}", "y": "old", "extra": 1}}'), (2, k, f'{{"x": "v{k}"}}'), (3, k, f'{{"y": "v{k}", "y": "v{k}"}}'), (4, k, f'{{"z": "v{k}", "y": "?"}}')]
+    data += [(1, 50, '{"x": " "}'), (1, None, '{"x": "a"}'), (1, None, '{"x": "a"}'), (1, 51, "no json"), (9, 1, '{"q": 1}')]
+    rules = spark.createDataFrame(rules, "file_id long, stream_id long, file_no int, domain_name string, rule_column string")
+    data = spark.createDataFrame(data, "file_id long, record_key long, payload string")
+    script = drift.edit_scripts(rules, data)
+    renamed = rows(script.where("change_type = 'renamed'").select("file_no", "field_name", "old_name"))
+    assert renamed == [(3, "y", "x"), (4, "z", "y")]
+    whole = {(r.file_id, r.record_key): r for r in drift.unified(rules, data, script).collect() if r.record_key is not None}
+    assert whole[1, 3].fields == {"z": "v3", "y": "old", "extra": "1"}
+    assert whole[2, 3].fields == {"z": "v3"} and whole[3, 3].fields == {"z": "v3"}
+    assert whole[4, 3].fields == {"z": "v3", "y": "?"}
+    assert whole[1, 50].fields == {} and whole[1, 51].fields == {} and whole[9, 1].stream_id is None
+    assert drift.unified(rules, data, script).count() == len(whole) + 2
+    rival = spark.createDataFrame([(1, 6, 1, "A", "a"), (1, 6, 1, "A", "b"), (2, 6, 2, "A", "b")], rules.schema)
+    told = spark.createDataFrame([(f, k, p) for k in range(5) for f, p in ((1, f'{{"a": "v{k}", "b": "w"}}'), (2, f'{{"b": "w", "a": "?"}}'))], data.schema)
+    names = {r.file_id: dict(map(tuple, r.names)) for r in drift.projections(rival, drift.edit_scripts(rival, told)).collect()}
+    assert names == {1: {"a": "a", "b": "b"}, 2: {"b": "b"}}
+    swapped = spark.createDataFrame([(1, 7, 1, "A", "a"), (1, 7, 1, "A", "b"), (2, 7, 2, "A", "c"), (3, 7, 3, "A", "b")], rules.schema)
+    moved = spark.createDataFrame([(f, k, p) for k in range(5) for f, p in ((1, f'{{"a": "v{k}", "b": "w"}}'), (2, f'{{"c": "v{k}"}}'), (3, f'{{"b": "v{k}"}}'))], data.schema)
+    names = {r.file_id: dict(map(tuple, r.names)) for r in drift.projections(swapped, drift.edit_scripts(swapped, moved)).collect()}
+    assert names == {1: {"a": "b", "b": "b@1"}, 2: {"c": "b"}, 3: {"b": "b"}}
+
+
+def test_a_nested_node_that_changes_parents_has_moved():
+    old = {"a": "OBJECT<x: BIGINT, y: STRING>", "b": "OBJECT<z: STRING>"}
+    new = {"a": "OBJECT<x: BIGINT>", "b": "OBJECT<y: STRING, z: STRING>"}
+    assert drift.tree_script(old, new, {}) == (1.0, [("moved", "b.y", "a.y")])
+
+
 def test_assignment_is_optimal():
     r = np.random.default_rng(1)
     from itertools import permutations

@@ -6,18 +6,26 @@ constrained tree edit distance (children are matched by minimum-cost
 assignment, so reordered columns cost nothing).  Deleting and adding a node
 cost 1 each; relabelling a column costs ``2 * (1 - overlap)`` and is allowed
 only when most of the records in both files carry the same values under the
-two names.  The cheapest script is the report, and the scripts of a stream are
-compiled into one projection per file, which gives every record the names of
-the stream's newest file.
+two names; a nested node that leaves one parent and appears under another has
+moved, which costs 1.  The cheapest script is the report.
 
-Cells are read with the JVM's variant parser; only per-file metadata (bounded
-by the columns of a file) reaches Python.  Joins are on (pair, record), so a
-hot stream is spread over its records.
+The scripts are compiled into one projection per file, a map from its names to
+those of the stream's newest file: the maps of neighbouring files are composed
+by doubling, so a stream of n files takes log2(n) joins and no task ever holds
+a whole stream.  A projection is applied to a record's parsed object in place.
+Two columns of a file that would end under one name stay apart: the one that
+was dropped earlier is named with the number of its last file (``y@2``).  A cell
+no rule declares keeps its name (``y@undeclared`` where that name is taken).
+
+JSON is read by the JVM's variant parser, without a shuffle; only per-file
+metadata (bounded by the columns of a file) reaches Python.  Records meet on
+(pair of files, record), so a hot stream is spread over its records.
 
 Nulls: blank cells are null or absent and carry no evidence; a column without
 any value has no type and is never retyped.  Payloads that are no JSON object
-give no cells.  Repeated records count once.  A stream's first file has no
-changes; empty tables give empty results.
+have no cells, but their records stay in the unified table, as do those with
+blank cells only and those without a key.  Repeated records count once.  A
+stream's first file has no changes; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -26,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,7 +43,6 @@ from veilframe.session import cut
 #: Share of records in both files that must agree for a rename.
 RENAME_OVERLAP = 0.5
 SCRIPT = "array<struct<change_type:string,field_name:string,old_name:string>>"
-FINAL_NAMES = "array<struct<file_id:long,name:string,final_name:string>>"
 
 
 def assign(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -132,18 +139,26 @@ def edit_script(
     return cost, script
 
 
-def _with_moves(script: list[tuple[str, str, str | None]]) -> list[tuple[str, str, str | None]]:
-    """A nested node deleted under one parent and added under another has moved."""
-    lost = {p.rpartition(".")[2]: p for kind, p, _ in script if kind == "removed"}
+def tree_script(
+    old: dict[str, str | None], new: dict[str, str | None], overlap: dict[tuple[str, str], float]
+) -> tuple[float, list[tuple[str, str, str | None]]]:
+    """Edit script of whole trees: as by level, and nested nodes that changed parents have moved."""
+    cost, script = edit_script(old, new, overlap)
+    lost: dict[str, list[str]] = {}
+    for kind, path, _ in script:
+        if kind == "removed":
+            lost.setdefault(path.rpartition(".")[2], []).append(path)
     out, moved = [], set()
-    for kind, path, was in script:
-        tail = path.rpartition(".")[2]
-        if kind == "added" and tail in lost and lost[tail] != path:
-            out.append(("moved", path, lost[tail]))
-            moved.add(lost[tail])
+    for kind, path, was in sorted(script, key=str):
+        above, _, tail = path.rpartition(".")
+        from_path = next((x for x in lost.get(tail, ()) if x not in moved and x.rpartition(".")[0] != above), None)
+        if kind == "added" and from_path is not None:
+            out.append(("moved", path, from_path))
+            moved.add(from_path)
+            cost -= 1  # one step instead of a removal and an addition
         else:
             out.append((kind, path, was))
-    return [x for x in out if not (x[0] == "removed" and x[1] in moved)]
+    return cost, [x for x in out if not (x[0] == "removed" and x[1] in moved)]
 
 
 def _scripts(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -152,42 +167,29 @@ def _scripts(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Itera
         for old, new, share in zip(olds, news, shares):
             a, b = ({r["name"]: r["kind"] for r in x} if x is not None else {} for x in (old, new))
             o = {(r["was"], r["now"]): r["share"] for r in share} if share is not None else {}
-            script = _with_moves(edit_script(a, b, o)[1])
+            script = tree_script(a, b, o)[1]
             out.append([{"change_type": k, "field_name": p, "old_name": w} for k, p, w in sorted(script, key=str)])
         yield pd.Series(out)
 
 
-def files(rules: DataFrame) -> DataFrame:
-    """Each file of a stream with the file before it (next lower file_no)."""
-    own = rules.groupBy("stream_id", "file_no", "file_id").agg(F.min("domain_name").alias("domain_name"))
-    order = W.partitionBy("stream_id").orderBy("file_no", "file_id")
-    return own.select(
-        "*",
-        F.lag("file_id").over(order).alias("prev_id"),
-        F.lag("domain_name").over(order).alias("prev_domain"),
-    )
+CELLS = """filter(transform(map_entries(from_json(payload, 'map<string,variant>')),
+    e -> named_struct('name', e.key, 'kind', schema_of_variant(e.value), 'value', cast(e.value AS string))),
+  c -> c.kind <> 'VOID' AND (c.kind <> 'STRING' OR trim(c.value) <> ''))"""
 
 
-def cells(rows: DataFrame) -> DataFrame:
-    """(file_id, record_key, name, kind, value) of every non-null JSON cell."""
-    spark = rows.sparkSession
-    parsed = rows.select("file_id", "record_key", F.try_parse_json("payload").alias("_v")).where(
-        F.expr("schema_of_variant(_v) LIKE 'OBJECT%'")
-    )
-    opened = parsed.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer()))
-    text = F.col("value").cast("string")
-    kind = F.schema_of_variant("value")
-    cell = opened.select(
-        "file_id", "record_key", F.col("key").alias("name"), kind.alias("kind"), text.alias("value")
-    ).where((F.col("kind") != "VOID") & ((F.col("kind") != "STRING") | (F.trim("value") != "")))
-    return cell.groupBy("file_id", "record_key", "name").agg(
-        F.max_by("kind", "value").alias("kind"), F.max("value").alias("value")
-    )
+def records(rows: DataFrame) -> DataFrame:
+    """(file_id, record_key, cells): non-blank cells of each record; null where it is no JSON object.
 
+    Repeated records count once; records without a key cannot be told apart and all stay.
+    """
+    keyed = rows.where(F.col("record_key").isNotNull()).groupBy("file_id", "record_key").agg(F.max("payload").alias("payload"))
+    every = keyed.unionByName(rows.where(F.col("record_key").isNull()).select("file_id", "record_key", "payload"))
+    return every.select("file_id", "record_key", F.expr(CELLS).alias("cells"))
 
-def _canonical():
+
+def _canonical(value: Column) -> Column:
     """Value text compared across JSON types: 14 = "14" = 14.0, true = "Y"."""
-    v = F.trim("value")
+    v = F.trim(value)
     return (
         F.when(F.lower(v).isin("true", "y", "yes"), F.lit("Y"))
         .when(F.lower(v).isin("false", "n", "no"), F.lit("N"))
@@ -196,76 +198,84 @@ def _canonical():
     )
 
 
-def overlaps(pairs: DataFrame, declared: DataFrame, cell: DataFrame) -> DataFrame:
-    """(file_id, was, now, share): agreement of gone and new names of each pair."""
-    now_names = declared.select("file_id", F.col("rule_column").alias("name")).distinct()
-    prev_names = now_names.withColumnRenamed("file_id", "prev_id")
-    link = pairs.where(F.col("prev_id").isNotNull()).select("file_id", "prev_id")
-    gone = link.join(prev_names, "prev_id").join(now_names, ["file_id", "name"], "left_anti")
-    fresh = link.join(now_names, "file_id").join(prev_names, ["prev_id", "name"], "left_anti")
-    # Only pairs that have both a gone and a new name can hold a rename.
-    both = gone.select("file_id").distinct().join(fresh.select("file_id").distinct(), "file_id")
-    keys = cell.select("file_id", "record_key").distinct()
-    shared = (
-        link.join(both, "file_id")
-        .join(keys, "file_id")
-        .join(keys.withColumnRenamed("file_id", "prev_id"), ["prev_id", "record_key"], "left_semi")
-    )
-    value = cell.select("file_id", "record_key", "name", _canonical().alias("v"))
-    old = (
-        gone.join(value.withColumnRenamed("file_id", "prev_id"), ["prev_id", "name"])
-        .join(shared.select("file_id", "record_key"), ["file_id", "record_key"], "left_semi")
-        .select("file_id", "record_key", F.col("name").alias("was"), F.col("v").alias("was_v"))
-    )
-    new = (
-        fresh.join(value, ["file_id", "name"])
-        .join(shared.select("file_id", "record_key"), ["file_id", "record_key"], "left_semi")
-        .select("file_id", "record_key", F.col("name").alias("now"), F.col("v").alias("now_v"))
-    )
-    met = old.join(new, ["file_id", "record_key"]).groupBy("file_id", "was", "now").agg(
-        F.count(F.lit(1)).alias("n_both"), F.count_if(F.col("was_v") == F.col("now_v")).alias("n_same")
+def column_kinds(record: DataFrame) -> DataFrame:
+    """(file_id, name, kind): the most frequent JSON type of a column; all numbers are one type."""
+    cell = record.select("file_id", F.explode("cells").alias("_c")).select("file_id", "_c.name", "_c.kind")
+    kinds = {"STRING": "STRING%", "BOOLEAN": "BOOLEAN%", "ARRAY": "ARRAY%", "OBJECT": "OBJECT%"}
+    counts = [F.count_if(F.col("kind").like(pattern)).alias(name) for name, pattern in kinds.items()]
+    seen = cell.groupBy("file_id", "name").agg(*counts, F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("kind").like("OBJECT%"), F.col("kind"))).alias("_object"))
+    number = F.col("_n") - sum((F.col(k) for k in kinds), F.lit(0))
+    best = F.greatest(*[F.struct(n.alias("n"), F.lit(k).alias("kind")) for k, n in [("DOUBLE", number), *[(k, F.col(k)) for k in kinds]]])
+    return seen.select("file_id", "name", F.when(best["kind"] == "OBJECT", F.col("_object")).otherwise(best["kind"]).alias("kind"))
+
+
+def files(rules: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Each file of a stream with its typed columns and the file before it (next lower file_no)."""
+    declared = rules.groupBy("file_id", F.col("rule_column").alias("name")).agg(
+        F.min("stream_id").alias("stream_id"), F.min("file_no").alias("file_no"), F.min("domain_name").alias("domain_name")
     )
-    n_old = old.groupBy("file_id", "was").agg(F.count(F.lit(1)).alias("n_old"))
-    n_new = new.groupBy("file_id", "now").agg(F.count(F.lit(1)).alias("n_new"))
-    return (
-        met.join(n_old, ["file_id", "was"])
-        .join(n_new, ["file_id", "now"])
-        .select("file_id", "was", "now", (F.col("n_same") / (F.col("n_old") + F.col("n_new") - F.col("n_both"))).alias("share"))
+    column = F.when(F.col("name").isNotNull(), F.struct("name", "kind"))  # collect_list leaves nulls out
+    own = declared.join(kinds, ["file_id", "name"], "left").groupBy("file_id").agg(
+        F.min("stream_id").alias("stream_id"), F.min("file_no").alias("file_no"), F.min("domain_name").alias("domain_name"),
+        F.sort_array(F.collect_list(column)).alias("columns"),
+    )
+    order = W.partitionBy("stream_id").orderBy("file_no", "file_id")
+    return own.select(
+        "*",
+        F.lag("file_id").over(order).alias("prev_id"),
+        F.lag("columns").over(order).alias("prev_columns"),
+        F.lag("domain_name").over(order).alias("prev_domain"),
     )
 
 
-def schemas(declared: DataFrame, cell: DataFrame) -> DataFrame:
-    """Per file the array of (name, most frequent JSON type or null)."""
-    kinds = cell.groupBy("file_id", "name", "kind").agg(F.count(F.lit(1)).alias("n"))
-    # Integers and decimals are one JSON type; the majority type of a column counts.
-    group = F.when(F.col("kind").rlike("^(OBJECT|ARRAY|STRING|BOOLEAN)"), F.col("kind")).otherwise(F.lit("DOUBLE"))
-    kinds = kinds.groupBy("file_id", "name", group.alias("kind")).agg(F.sum("n").alias("n"))
-    kinds = kinds.groupBy("file_id", "name").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"))
-    names = declared.select("file_id", F.col("rule_column").alias("name")).where(F.col("name").isNotNull()).distinct()
+def _names(columns: str) -> Column:
+    return F.transform(columns, lambda c: c["name"])
+
+
+def overlaps(pairs: DataFrame, record: DataFrame) -> DataFrame:
+    """(file_id, shares): agreement of gone and new names over the records both files of a pair hold."""
+    named = pairs.where(F.col("prev_id").isNotNull()).select(
+        "file_id", "prev_id",
+        F.array_except(_names("prev_columns"), _names("columns")).alias("gone"),
+        F.array_except(_names("columns"), _names("prev_columns")).alias("fresh"),
+    )
+    # Only pairs that have both a gone and a new name can hold a rename.
+    both = named.where((F.size("gone") > 0) & (F.size("fresh") > 0))
+    roles = both.select(F.col("prev_id").alias("file_id"), F.col("file_id").alias("pair"), F.lit(True).alias("old"), F.col("gone").alias("asked")).unionByName(
+        both.select("file_id", F.col("file_id").alias("pair"), F.lit(False).alias("old"), F.col("fresh").alias("asked"))
+    )
+    filled = record.where(F.col("record_key").isNotNull() & (F.size("cells") > 0))
+    told = F.transform(
+        "asked",
+        lambda n: F.struct(n.alias("name"), _canonical(F.try_element_at(F.filter("cells", lambda c: c["name"] == n), F.lit(-1))["value"]).alias("v")),
+    )
+    side = filled.join(roles, "file_id").select("pair", "record_key", "old", told.alias("told"))
+    met = side.groupBy("pair", "record_key").agg(
+        F.first(F.when(F.col("old"), F.col("told")), True).alias("was"), F.first(F.when(~F.col("old"), F.col("told")), True).alias("now")
+    ).where(F.col("was").isNotNull() & F.col("now").isNotNull())
+    compared = F.flatten(
+        F.transform("was", lambda a: F.transform("now", lambda b: F.struct(
+            a["name"].alias("was"), b["name"].alias("now"),
+            (a["v"].isNotNull() | b["v"].isNotNull()).alias("filled"), F.coalesce(a["v"] == b["v"], F.lit(False)).alias("same"))))
+    )
     return (
-        names.join(kinds, ["file_id", "name"], "left")
-        .groupBy("file_id")
-        .agg(F.sort_array(F.collect_list(F.struct("name", "kind"))).alias("columns"))
+        met.select("pair", F.explode(compared).alias("_c"))
+        .groupBy("pair", "_c.was", "_c.now")
+        .agg(F.count_if("_c.filled").alias("n"), F.count_if("_c.same").alias("same"))
+        .where(F.col("same") > RENAME_OVERLAP * F.col("n"))
+        .groupBy(F.col("pair").alias("file_id"))
+        .agg(F.collect_list(F.struct("was", "now", (F.col("same") / F.col("n")).alias("share"))).alias("shares"))
     )
 
 
 def edit_scripts(rules: DataFrame, rows: DataFrame) -> DataFrame:
-    """(stream_id, file_no, file_id, change_type, field_name, old_name)."""
-    # Both are read by every branch below; the cells are parsed once.
-    pairs, cell = cut(files(rules)), cut(cells(rows))
-    schema = schemas(rules, cell)
-    share = (
-        overlaps(pairs, rules, cell)
-        .where(F.col("share") > RENAME_OVERLAP)
-        .groupBy("file_id")
-        .agg(F.collect_list(F.struct("was", "now", "share")).alias("shares"))
-    )
+    """(stream_id, file_no, file_id, prev_id, change_type, field_name, old_name)."""
+    record = cut(records(rows))  # parsed once
+    pairs = cut(files(rules, column_kinds(record)))  # one row per file
     compared = (
         pairs.where(F.col("prev_id").isNotNull())
-        .join(schema.withColumnRenamed("columns", "new_columns"), "file_id", "left")
-        .join(schema.select(F.col("file_id").alias("prev_id"), F.col("columns").alias("old_columns")), "prev_id", "left")
-        .join(share, "file_id", "left")
-        .withColumn("script", F.pandas_udf(_scripts, SCRIPT)("old_columns", "new_columns", "shares"))
+        .join(overlaps(pairs, record), "file_id", "left")
+        .withColumn("script", F.pandas_udf(_scripts, SCRIPT)("prev_columns", "columns", "shares"))
     )
     domain = F.when(
         ~F.col("domain_name").eqNullSafe(F.col("prev_domain")),
@@ -278,54 +288,63 @@ def edit_scripts(rules: DataFrame, rows: DataFrame) -> DataFrame:
         ),
     )
     every = F.concat("script", F.coalesce(domain, F.slice("script", 1, 0)))
-    return compared.select("stream_id", "file_no", "file_id", F.explode(every).alias("_c")).select(
-        "stream_id", "file_no", "file_id", "_c.change_type", "_c.field_name", "_c.old_name"
+    return compared.select("stream_id", "file_no", "file_id", "prev_id", F.explode(every).alias("_c")).select(
+        "stream_id", "file_no", "file_id", "prev_id", "_c.change_type", "_c.field_name", "_c.old_name"
     )
 
 
-def _lineage(steps: pd.Series) -> pd.Series:
-    """Compile a stream's rename scripts, newest file first, into final names."""
-    out = []
-    for files_of in steps:
-        later: dict[str, str] = {}
-        rows = []
-        for step in sorted(files_of, key=lambda s: -s["file_no"]):
-            names = [n for n in (step["names"] if step["names"] is not None else [])]
-            final = {n: later.get(n, n) for n in names}
-            rows += [{"file_id": int(step["file_id"]), "name": n, "final_name": f} for n, f in final.items()]
-            renames = {r["now"]: r["was"] for r in (step["renames"] if step["renames"] is not None else [])}
-            later = {renames.get(n, n): f for n, f in final.items()} | {
-                k: v for k, v in later.items() if k not in final and k not in renames.values()
-            }
-        out.append(rows)
-    return pd.Series(out)
-
-
 def projections(rules: DataFrame, script: DataFrame) -> DataFrame:
-    """(stream_id, file_id, name, final_name): the projection of every file."""
-    renames = (
-        script.where("change_type = 'renamed'")
-        .groupBy("file_id")
-        .agg(F.collect_list(F.struct(F.col("field_name").alias("now"), F.col("old_name").alias("was"))).alias("renames"))
+    """(file_id, stream_id, names): the final name of every declared column of a file."""
+    own = rules.groupBy("file_id").agg(
+        F.min("stream_id").alias("stream_id"), F.min("file_no").alias("file_no"), F.sort_array(F.collect_set("rule_column")).alias("columns")
     )
-    names = rules.where(F.col("rule_column").isNotNull()).groupBy("stream_id", "file_no", "file_id").agg(
-        F.sort_array(F.collect_set("rule_column")).alias("names")
+    order = W.partitionBy("stream_id").orderBy("file_no", "file_id")
+    nexts = own.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("file_id", "file_no", "columns")])
+    renames = script.where("change_type = 'renamed'").groupBy(F.col("prev_id").alias("file_id")).agg(
+        F.map_from_entries(F.collect_list(F.struct("old_name", "field_name"))).alias("renames")
     )
-    return (
-        names.join(renames, "file_id", "left")
-        .groupBy("stream_id")
-        .agg(F.collect_list(F.struct("file_no", "file_id", "names", "renames")).alias("steps"))
-        .select("stream_id", F.explode(F.pandas_udf(_lineage, FINAL_NAMES)("steps")).alias("_p"))
-        .select("stream_id", "_p.file_id", "_p.name", "_p.final_name")
+    # A step: name -> (name in the next file, number of the last file that has the column).
+    after = lambda n: F.coalesce(F.try_element_at("renames", n), n)
+    lives = lambda n: F.coalesce(F.array_contains("next_columns", after(n)), F.lit(False))
+    one = F.transform("columns", lambda n: F.struct(n.alias("name"), F.when(lives(n), after(n)).otherwise(n).alias("final"), F.when(lives(n), F.col("next_file_no")).otherwise(F.col("file_no")).alias("last")))
+    steps = cut(
+        nexts.join(renames, "file_id", "left").select(
+            "file_id", "stream_id", F.col("next_file_id").alias("to_id"), F.col("next_file_no").alias("to_no"), one.alias("steps")
+        )
     )
+    # Doubling: each round joins a file with the file its steps lead to.
+    while not steps.where(F.col("to_id").isNotNull()).isEmpty():
+        way = F.map_from_entries(F.transform("steps", lambda x: F.struct(x["name"].alias("key"), F.struct(x["final"].alias("final"), x["last"].alias("last")).alias("value"))))
+        ahead = steps.select(F.col("file_id").alias("to_id"), F.col("to_id").alias("_id"), F.col("to_no").alias("_no"), way.alias("_way"))
+
+        def onward(s: Column) -> Column:
+            # Where the column lives on in the file ahead, that file knows its name.
+            found = F.when(s["last"] == F.col("to_no"), F.try_element_at("_way", s["final"]))
+            return F.struct(s["name"].alias("name"), F.coalesce(found["final"], s["final"]).alias("final"), F.coalesce(found["last"], s["last"]).alias("last"))
+
+        # Two selects: within one, to_no would mean the alias to_no.
+        joined = steps.join(ahead, "to_id", "left").withColumn("steps", F.transform("steps", onward))
+        steps = cut(joined.select("file_id", "stream_id", F.col("_id").alias("to_id"), F.col("_no").alias("to_no"), "steps"))
+
+    def apart(s: Column) -> Column:
+        """The final name, unless a column of the file that lived longer holds it."""
+        rival = F.exists("steps", lambda x: (x["final"] == s["final"]) & ((x["last"] > s["last"]) | ((x["last"] == s["last"]) & (x["name"] < s["name"]))))
+        return F.struct(s["name"].alias("name"), F.when(rival, F.concat_ws("@", s["final"], s["last"])).otherwise(s["final"]).alias("final"))
+
+    return steps.select("file_id", "stream_id", F.transform("steps", apart).alias("names"))
 
 
 def unified(rules: DataFrame, rows: DataFrame, script: DataFrame) -> DataFrame:
     """All records in one table: (stream_id, file_id, record_key, fields map)."""
-    final = projections(rules, script)
-    return (
-        cells(rows)
-        .join(final, ["file_id", "name"])
-        .groupBy("stream_id", "file_id", "record_key")
-        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("final_name", "value")))).alias("fields"))
-    )
+
+    def named(c: Column) -> Column:
+        found = F.try_element_at(F.filter("names", lambda n: n["name"] == c["name"]), F.lit(1))["final"]
+        taken = F.exists("names", lambda n: n["final"] == c["name"])
+        return F.coalesce(found, F.when(taken, F.concat(c["name"], F.lit("@undeclared"))).otherwise(c["name"]))
+
+    placed = records(rows).join(projections(rules, script), "file_id", "left").withColumn("names", F.coalesce("names", F.expr("array()").cast("array<struct<name:string,final:string>>")))
+    cells = F.coalesce("cells", F.expr("array()").cast("array<struct<name:string,kind:string,value:string>>"))
+    # A key written twice in one object: the last value counts.
+    last = F.filter(cells, lambda c, i: ~F.exists(F.slice(cells, i + 2, F.size(cells)), lambda d: d["name"] == c["name"]))
+    fields = F.map_from_entries(F.transform(last, lambda c: F.struct(named(c).alias("key"), c["value"].alias("value"))))
+    return placed.select("stream_id", "file_id", "record_key", fields.alias("fields"))

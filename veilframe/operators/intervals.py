@@ -128,10 +128,17 @@ def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def merge_intervals(df: DataFrame, entity: str, start: str, end: str) -> DataFrame:
-    """(entity, kind, lo, hi): periods and gaps of integer intervals per entity."""
+    """(entity, kind, lo, hi): periods and gaps of integer intervals per entity.
+
+    Ends must lie in 0 .. 2**LEVELS - 2; any other stops the run with a message.
+    """
+    lo, hi = F.col(start).cast("long"), F.col(end).cast("long")
+    inside = (lo >= 0) & (hi < (1 << LEVELS) - 1)
+    checked = F.when(inside, lo).otherwise(F.raise_error(F.lit(f"an interval lies outside 0 .. 2**{LEVELS} - 2")))
     blocks = (
-        df.where(F.col(entity).isNotNull() & (F.col(start) <= F.col(end)))
-        .select(F.col(entity).alias("entity"), F.explode(dyadic_blocks(start, end)).alias("_b"))
+        df.where(F.col(entity).isNotNull() & (lo <= hi))
+        .select(F.col(entity).cast("string").alias("entity"), checked.alias("_from"), hi.alias("_to"))
+        .select("entity", F.explode(dyadic_blocks("_from", "_to")).alias("_b"))
         .select("entity", "_b.level", "_b.idx")
         .groupBy("entity", "level", "idx")
         .agg(F.lit(1).alias("_one"))

@@ -4,9 +4,11 @@ One pass turns the profiled columns into (group, load, column, value) and
 counts each distinct value with map-side combine; a hot feed is thereby spread
 over its values before anything is gathered.  A second, much smaller
 aggregation folds the distinct values into the profile.  All figures are
-mergeable: counts, ranges, violation counts and *exact* power sums (decimal),
-so profiles of parts can be added (numbers of 12 or more whole digits stay out of
-them, and a sum beyond decimal(38) becomes null instead of failing).  Loads are compared by a join on
+mergeable: counts, ranges, violation counts and *exact* power sums.  A number of
+up to 12 whole and 6 decimal digits enters them as a whole number of millionths,
+so nothing is ever rounded; other numbers (longer ones, powers of ten) are left
+out of the sums and counted as ``n_outside``.  A sum beyond 38 digits becomes
+null instead of failing.  ``merge_profiles`` adds profiles of parts.  Loads are compared by a join on
 ``load_no - 1`` and never by an unbounded window.
 
 Rates are shares of the non-null values and null where a load has none (a null
@@ -16,8 +18,6 @@ as text; empty text is a value.  Empty input gives an empty profile.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +26,9 @@ from veilframe.functions.patterns import DECIMAL_NUMBER, WRITTEN_DAY
 #: Difference of a rate, and factor of distinct counts, that count as a break.
 RATE_STEP = 0.2
 UNIQUE_FACTOR = 3
+#: Numbers whose millionths are whole and fit 18 digits.
+EXACT = r"^\s*[+-]?0*[0-9]{0,12}(\.[0-9]{0,6}0*)?\s*$"
+MILLIONTHS = 1e6
 
 
 def is_number(value: Column) -> Column:
@@ -36,6 +39,12 @@ def is_written_day(value: Column) -> Column:
     return F.coalesce(value.rlike(WRITTEN_DAY), F.lit(False))
 
 
+def moments(m: Column, sum1: Column, sum2: Column) -> tuple[Column, Column]:
+    """Mean and variance of m numbers from their power sums in millionths."""
+    mean = sum1.cast("double") / MILLIONTHS / m
+    return mean, F.greatest(sum2.cast("double") / MILLIONTHS / MILLIONTHS / m - mean * mean, F.lit(0.0))
+
+
 def profile(df: DataFrame, by: list[str], columns: list[str], patterns: dict[str, str] | None = None) -> DataFrame:
     """One row per (by, column_name): counts, ranges, rates and power sums."""
     patterns = patterns or {}
@@ -49,7 +58,9 @@ def profile(df: DataFrame, by: list[str], columns: list[str], patterns: dict[str
         .agg(F.count(F.lit(1)).alias("n"))
     )
     value, n, present = F.col("value"), F.col("n"), F.col("value").isNotNull()
-    number = F.when(is_number(value), F.expr("try_cast(trim(value) AS decimal(15,3))"))
+    exact = is_number(value) & value.rlike(EXACT)
+    number = F.when(exact, F.expr("cast(try_cast(trim(value) AS decimal(18,6)) * 1000000BD AS decimal(18,0))"))
+    read = F.when(is_number(value), F.expr("try_cast(trim(value) AS double)"))
     wrong = F.lit(False)
     for column, pattern in patterns.items():
         wrong = wrong | ((F.col("column_name") == column) & present & ~value.rlike(pattern))
@@ -67,16 +78,18 @@ def profile(df: DataFrame, by: list[str], columns: list[str], patterns: dict[str
         total(wrong).alias("n_violation"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
-        F.min(number).cast("double").alias("min_number"),
-        F.max(number).cast("double").alias("max_number"),
+        F.min(read).alias("min_number"),
+        F.max(read).alias("max_number"),
         F.min(F.length("value")).alias("min_length"),
         F.max(F.length("value")).alias("max_length"),
         F.sum(F.when(number.isNotNull(), n)).alias("_m"),
+        total(is_number(value) & number.isNull()).alias("n_outside"),
         F.try_sum(F.try_multiply(number, weight)).alias("sum1"),
         F.try_sum(F.try_multiply(F.try_multiply(number, number), weight)).alias("sum2"),
     )
     filled = F.col("n_rows") - F.col("n_null")
-    m, s1, s2 = F.col("_m"), F.col("sum1").cast("double"), F.col("sum2").cast("double")
+    m = F.col("_m")
+    mean, variance = moments(m, F.col("sum1"), F.col("sum2"))
     return folded.select(
         *by,
         "column_name",
@@ -94,10 +107,11 @@ def profile(df: DataFrame, by: list[str], columns: list[str], patterns: dict[str
         "min_length",
         "max_length",
         F.col("_m").alias("n_numeric"),
+        "n_outside",
         "sum1",
         "sum2",
-        (s1 / m).alias("mean"),
-        F.greatest(s2 / m - (s1 / m) * (s1 / m), F.lit(0.0)).alias("variance"),
+        mean.alias("mean"),
+        variance.alias("variance"),
     )
 
 
@@ -135,9 +149,17 @@ def breaks(compared: DataFrame, group: str, load: str, rate_step: float = RATE_S
     )
 
 
-def merged_power_sums(profiles: list[DataFrame], by: list[str]) -> DataFrame:
-    """Add the power sums of separately profiled parts (exact, order-free)."""
-    every = reduce(DataFrame.unionByName, [p.select(*by, "column_name", "n_numeric", "sum1", "sum2") for p in profiles])
-    return every.groupBy(*by, "column_name").agg(
-        F.sum("n_numeric").alias("n_numeric"), F.sum("sum1").alias("sum1"), F.sum("sum2").alias("sum2")
-    )
+def merge_profiles(profiles: DataFrame, by: list[str]) -> DataFrame:
+    """Profiles of parts added up to those of ``by``; all that can be added is exact.
+
+    Distinct values of parts may be the same, so their number is left out.
+    """
+    n_rows, n_null, m = F.sum("n_rows"), F.sum("n_null"), F.sum("n_numeric")
+    added = profiles.groupBy(*by, "column_name").agg(
+        n_rows.alias("n_rows"), n_null.alias("n_null"), F.sum("n_violation").alias("n_violation"), m.alias("n_numeric"),
+        F.sum("n_outside").alias("n_outside"), F.try_sum("sum1").alias("sum1"), F.try_sum("sum2").alias("sum2"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"), F.min("min_number").alias("min_number"),
+        F.max("max_number").alias("max_number"), F.min("min_length").alias("min_length"), F.max("max_length").alias("max_length"),
+    )
+    mean, variance = moments(F.col("n_numeric"), F.col("sum1"), F.col("sum2"))
+    return added.withColumns({"null_rate": F.col("n_null") / F.col("n_rows"), "mean": mean, "variance": variance})

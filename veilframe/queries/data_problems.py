@@ -18,25 +18,22 @@ def _refs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _orphans(spark: SparkSession, d: str) -> DataFrame:
-    spans = orphans.parent_spans(table(spark, d, "dm"), "usubjid", "loaded_at", "deleted_at")
-    rows = orphans.orphans(_refs(spark, d), spans)
-    specs = orphans.missing_columns(table(spark, d, "anchor_spec"), table(spark, d, "field_rule"))
-    return rows.unionByName(specs)
+def _orphans(spark: SparkSession, d: str) -> orphans.Orphans:
+    return orphans.Orphans(_refs(spark, d), orphans.parent_spans(table(spark, d, "dm"), "usubjid", "loaded_at", "deleted_at"))
+
+
+def _lost_specs(spark: SparkSession, d: str) -> DataFrame:
+    return orphans.missing_columns(table(spark, d, "anchor_spec"), table(spark, d, "field_rule"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _orphans(spark, d).select("table_name", "rec_id")
+    found = _orphans(spark, d).rows().select("table_name", "rec_id")
+    return found.unionByName(_lost_specs(spark, d).select("table_name", "rec_id"))
 
 
 def p2_report(spark: SparkSession, d: str) -> DataFrame:
-    specs = table(spark, d, "anchor_spec").select(
-        F.lit("anchor_spec").alias("table_name"),
-        F.col("spec_id").cast("long").alias("rec_id"),
-        F.lit(None).cast("string").alias("_key"),
-        F.col("signed_at").alias("_at"),
-    )
-    return orphans.orphan_report(_orphans(spark, d), _refs(spark, d).unionByName(specs))
+    specs = orphans.specs_report(table(spark, d, "anchor_spec"), _lost_specs(spark, d))
+    return _orphans(spark, d).report().unionByName(specs)
 
 
 def _normalised(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +80,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_profile(spark: SparkSession, d: str) -> DataFrame:
     return _lb_profile(spark, d).select(
         "feed_id", "load_no", "column_name", "n_rows", "n_null", "n_unique", "n_violation", "min_value", "max_value",
-        "min_length", "max_length", "n_numeric", F.col("sum1").cast("double").alias("sum1"),
+        "min_length", "max_length", "n_numeric", "n_outside", F.round(F.col("sum1").cast("double") / quality.MILLIONTHS, 3).alias("sum1"),
         F.round("numeric_rate", 9).alias("numeric_rate"), F.round("raw_date_rate", 9).alias("raw_date_rate"),
     )
 
@@ -95,6 +92,14 @@ def p5_shift(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p5_feeds(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles of whole feeds, added up from those of their loads."""
+    whole = quality.merge_profiles(_lb_profile(spark, d), ["feed_id"])
+    return whole.select(
+        "feed_id", "column_name", "n_rows", "n_null", "n_violation", "n_numeric", "min_value", "max_value", F.round("mean", 6).alias("mean"), F.round(F.sqrt("variance"), 6).alias("deviation")
+    )
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     found = intervals.day_periods(table(spark, d, "ae"), "usubjid", "aestdtc", "aeendtc")
     return found.withColumnRenamed("entity", "usubjid")
@@ -115,10 +120,10 @@ def p7_unified(spark: SparkSession, d: str) -> DataFrame:
     """Every record under its stream's newest names, one row per cell."""
     rules, rows = table(spark, d, "field_rule"), table(spark, d, "drop_row")
     whole = drift.unified(rules, rows, cut(_scripts(spark, d)))
-    return whole.select("stream_id", "file_id", "record_key", F.explode("fields").alias("field_name", "value"))
+    return whole.select("stream_id", "file_id", "record_key", F.explode_outer("fields").alias("field_name", "value"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_report, p4_found, p4_precision, p5_found, p5_profile, p5_shift, p6_found, p7_found, p7_unified)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_report, p4_found, p4_precision, p5_found, p5_profile, p5_shift, p5_feeds, p6_found, p7_found, p7_unified)}
 SQL: dict[str, str] = {}
 
 _REFS = """
@@ -143,6 +148,7 @@ FROM (SELECT table_name, strftime(t, '%Y-%m') AS period, count(*) AS n_refs FROM
 LEFT JOIN (SELECT table_name, strftime(t, '%Y-%m') AS period, count(*) AS n_orphans FROM found GROUP BY 1, 2) f
   ON e.table_name = f.table_name AND e.period IS NOT DISTINCT FROM f.period"""
 
+_EXACT = r"^\s*[+-]?0*[0-9]{0,12}(\.[0-9]{0,6}0*)?\s*$"
 _NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$"
 _DAY = (
     r"(?i)^\s*([12][0-9]{3}-(0?[1-9]|1[0-2])-(0?[1-9]|[12][0-9]|3[01])([T :].*)?"
@@ -158,22 +164,22 @@ WITH long AS ({_LONG}),
 typed AS (
   SELECT *, coalesce(regexp_matches(v, '{_NUMBER}'), false) AS is_num,
          coalesce(regexp_matches(v, '{_DAY}'), false) AS is_day,
-         CASE WHEN regexp_matches(v, '{_NUMBER}') THEN try_cast(trim(v) AS DECIMAL(15, 3)) END AS x
+         CASE WHEN regexp_matches(v, '{_NUMBER}') AND regexp_matches(v, '{_EXACT}') THEN try_cast(trim(v) AS DECIMAL(18, 6)) END AS x
   FROM long),
 prof AS (
   SELECT feed_id, load_no, column_name, count(*) AS n_rows, count(*) - count(v) AS n_null,
          count(DISTINCT v) AS n_unique, count(*) FILTER (WHERE v IS NOT NULL AND ({_WRONG})) AS n_violation,
          min(v) AS min_value, max(v) AS max_value,
          CAST(min(length(v)) AS INT) AS min_length, CAST(max(length(v)) AS INT) AS max_length,
-         nullif(count(x), 0) AS n_numeric, CAST(sum(x) AS DOUBLE) AS sum1,
-         CAST(sum(CAST(x AS DECIMAL(19, 3)) * CAST(x AS DECIMAL(19, 3))) AS DOUBLE) AS sum2,
+         nullif(count(x), 0) AS n_numeric, count(*) FILTER (WHERE is_num) - count(x) AS n_outside, CAST(sum(x) AS DOUBLE) AS sum1,
+         CAST(sum(CAST(x AS DECIMAL(18, 6)) * CAST(x AS DECIMAL(18, 6))) AS DOUBLE) AS sum2,
          count(*) FILTER (WHERE is_num) / nullif(count(v), 0)::DOUBLE AS numeric_rate,
          count(*) FILTER (WHERE is_day) / nullif(count(v), 0)::DOUBLE AS raw_date_rate,
          (count(*) - count(v)) / count(*)::DOUBLE AS null_rate
   FROM typed GROUP BY ALL)"""
 SQL["p5_profile"] = _PROFILE + """
 SELECT feed_id, load_no, column_name, n_rows, n_null, n_unique, n_violation, min_value, max_value, min_length,
-       max_length, n_numeric, sum1, round(numeric_rate, 9) AS numeric_rate, round(raw_date_rate, 9) AS raw_date_rate
+       max_length, n_numeric, n_outside, round(sum1, 3) AS sum1, round(numeric_rate, 9) AS numeric_rate, round(raw_date_rate, 9) AS raw_date_rate
 FROM prof"""
 SQL["p5_found"] = _PROFILE + """,
 pair AS (SELECT a.*, b.null_rate AS p1, b.numeric_rate AS p2, b.raw_date_rate AS p3, b.n_unique AS p4
@@ -189,6 +195,10 @@ m AS (SELECT *, sum1 / n_numeric AS mean,
 SELECT a.feed_id, a.load_no, a.column_name, round((a.mean - b.mean) / sqrt((a.var + b.var) / 2), 6) AS std_difference
 FROM m a JOIN m b ON a.feed_id = b.feed_id AND a.column_name = b.column_name AND a.load_no = b.load_no + 1
 WHERE a.var + b.var > 0 AND a.n_numeric IS NOT NULL AND b.n_numeric IS NOT NULL"""
+SQL["p5_feeds"] = _PROFILE + """
+SELECT feed_id, column_name, count(*) AS n_rows, count(*) - count(v) AS n_null, count(*) FILTER (WHERE v IS NOT NULL AND (""" + _WRONG + """)) AS n_violation,
+       nullif(count(x), 0) AS n_numeric, min(v) AS min_value, max(v) AS max_value, round(avg(CAST(x AS DOUBLE)), 6) AS mean, round(stddev_pop(CAST(x AS DOUBLE)), 6) AS deviation
+FROM typed GROUP BY 1, 2"""
 SQL["p6_found"] = """
 WITH days AS (
   SELECT upper(trim(usubjid)) AS usubjid,
