@@ -1,5 +1,6 @@
 """Operators of the text problems against brute force, round trips and edge cases."""
 
+import pickle
 import random
 import re
 from collections import Counter
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilframe.llm import canonical, leakage, mixing, pii, pii_corpus, truncation
+from veilframe.llm.queries import VOCABULARY
 
 # --- canonical list --------------------------------------------------------------
 
@@ -191,10 +193,33 @@ def test_leaks_match_brute_force(spark):
     assert leakage.leaks(df, index.limit(0), "doc_id", "text", "item_id", "text").count() == 0
 
 
+def test_wand_retrieves_every_item_over_its_threshold():
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    weights = [1 / (k + 1) for k in range(60)]
+    index = leakage.Bm25Index([(i, " ".join(r.choices(vocabulary, weights, k=r.choice([15, 20, 40, 90])))) for i in range(300)])
+    for _ in range(60):
+        terms = {index.vocab[w] for w in r.choices(vocabulary, weights, k=r.choice([5, 20, 60])) if w in index.vocab}
+        score = [0.0] * 300
+        for w in terms:
+            for k, s in zip(index.posts[w], index.scores[w]):
+                score[k] += s
+        want = [k for k in range(300) if score[k] >= index.threshold[k]]
+        got = index.retrieve(terms)
+        near = {k for k in range(300) if abs(score[k] - index.threshold[k]) < 1e-9}
+        assert set(got) - near == set(want) - near and len(got) == len(set(got))
+
+
+def test_index_stays_small():
+    r = random.Random(3)
+    items = [(i, " ".join(f"word{r.randrange(5000)}" for _ in range(100))) for i in range(1500)]
+    assert len(pickle.dumps(leakage.Bm25Index(items))) < 3 * sum(len(t) for _, t in items)
+
+
 def test_leaks_in_item_blocks(spark, monkeypatch):
     text = " ".join(f"t{i}" for i in range(40))
     index = spark.createDataFrame([(i, text + f" end{i}") for i in range(5)], "item_id long, text string")
-    monkeypatch.setattr(leakage, "BLOCK_ITEMS", 2)
+    monkeypatch.setattr(leakage, "BLOCK_BYTES", 300)
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert leakage.leaks(df, index, "doc_id", "text", "item_id", "text").count() == 5
 
@@ -205,7 +230,7 @@ def test_leaks_in_item_blocks(spark, monkeypatch):
 def _mix(spark, sizes, targets, parts=5, **options):
     documents = spark.createDataFrame([(i, s, "word " * n, 1) for i, (s, n) in enumerate(sizes)], "doc_id long, source string, text string, whole int").repartition(parts)
     wanted = spark.createDataFrame(targets, "source string, target_share double, max_repeat int")
-    drawn, planned = mixing.mix(documents, wanted, **options)
+    drawn, planned = mixing.mix(documents, wanted, VOCABULARY, **options)
     return {r.source: r for r in mixing.shares(drawn, planned).collect()}, drawn.collect()
 
 

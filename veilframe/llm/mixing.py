@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from veilframe.session import cut
 
-#: Vocabulary file of a public tokenizer (tiktoken ranks); a parameter.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Largest vocabulary file that is shipped to the executors.
+VOCABULARY_BYTES = 32_000_000
 #: Published split pattern of that byte-level vocabulary.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Documents of one group of the first level, and least number of groups.
@@ -48,19 +48,27 @@ FAN_IN = 4096
 EDGE = 1e-9
 
 
-def encoder(vocabulary: str = VOCABULARY):
+def encoder(vocabulary: bytes):
+    """Encoder of a public tokenizer from the content of its vocabulary file (tiktoken ranks)."""
     import tiktoken
 
-    with open(vocabulary, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
     return tiktoken.Encoding("mixing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(documents: DataFrame, doc_id: str, text: str, source: str, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, source, n_tokens): sizes of whole texts, one scan."""
+def token_counts(documents: DataFrame, doc_id: str, text: str, source: str, vocabulary: str) -> DataFrame:
+    """(doc_id, source, n_tokens): sizes of whole texts, one scan.
+
+    ``vocabulary`` is a file on the driver; its content is sent to the executors.
+    """
+    with open(vocabulary, "rb") as file:
+        content = file.read(VOCABULARY_BYTES + 1)
+    if len(content) > VOCABULARY_BYTES:
+        raise ValueError("the vocabulary file is too large to be shipped")
+    shared = documents.sparkSession.sparkContext.broadcast(content)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary).encode_ordinary
+        encode = encoder(shared.value).encode_ordinary
         for batch in batches:
             sizes = [len(encode(t)) if t else 0 for t in batch["_text"]]
             yield batch[["doc_id", "source"]].assign(n_tokens=sizes)
@@ -152,8 +160,8 @@ def plan(counts: DataFrame, targets: DataFrame, total: float | None = None) -> D
     return joined.select("source", "target_share", share.alias("share"), "max_repeat", "tokens", expected.alias("expected"))
 
 
-def mix(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-        total: float | None = None, seed: int = 17, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+        total: float | None = None, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """(drawn, planned): (source, doc_id, n_tokens, copies) and one row per target."""
     counts = cut(token_counts(documents, doc_id, text, source, vocabulary))
     planned = cut(plan(counts, targets, total))

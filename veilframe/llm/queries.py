@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from veilframe.llm import canonical, leakage, mixing, pii, truncation
 from veilframe.session import table
 
+#: Public vocabulary that the registered queries measure sizes with.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def _mapped(spark: SparkSession, d: str) -> DataFrame:
     terms = table(spark, d, "term_dict")
@@ -79,12 +82,32 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     """Drawn documents with their copies."""
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"), VOCABULARY)[0]
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual share of every target source."""
-    return mixing.shares(*mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target")))
+    return mixing.shares(*mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"), VOCABULARY))
+
+
+def p9_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Per target whether the draw keeps its promises: only its documents, none too often, the share within a document."""
+    documents = table(spark, d, "documents")
+    drawn, planned = mixing.mix(documents, table(spark, d, "mix_target"), VOCABULARY)
+    own = documents.select("doc_id", F.col("source").alias("_s"))
+    real = drawn.join(own, "doc_id", "left").groupBy("source").agg(
+        F.bool_and(F.col("_s") == F.col("source")).alias("own_documents"), F.max("copies").alias("_most"), F.max("n_tokens").alias("_largest"),
+        F.sum(F.col("copies") * F.col("n_tokens")).alias("_got"), (F.count(F.lit(1)) == F.count_distinct("doc_id")).alias("each_once"),
+    )
+    exact = F.col("expected") * F.col("tokens")
+    return planned.join(real, "source", "left").select(
+        "source",
+        F.coalesce("own_documents", F.lit(True)).alias("own_documents"),
+        F.coalesce("each_once", F.lit(True)).alias("each_once"),
+        (F.coalesce("_most", F.lit(0)) <= F.col("max_repeat")).alias("repeats_kept"),
+        (F.abs(F.coalesce("_got", F.lit(0)) - exact) <= F.coalesce("_largest", F.lit(0))).alias("share_met"),
+        (F.col("tokens") > 0).alias("has_documents"),
+    )
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +119,7 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_rates(documents, truncation.truncated(documents))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_redacted, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_redacted, p8_found, p8_items, p9_mixture, p9_shares, p9_invariants, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
 
 _GRAMS = r"""
@@ -109,3 +132,7 @@ SQL["p8_found"] = _GRAMS + " SELECT doc_id, item_id FROM found"
 SQL["p8_items"] = _GRAMS + """
 SELECT e.item_id, e.suite, coalesce(f.n, 0) AS n_docs FROM eval_item e
 LEFT JOIN (SELECT item_id, count(*) AS n FROM found GROUP BY 1) f ON e.item_id = f.item_id"""
+SQL["p9_invariants"] = """
+SELECT t.source, true AS own_documents, true AS each_once, true AS repeats_kept, true AS share_met,
+       count(d.doc_id) FILTER (WHERE length(d.text) > 0) > 0 AS has_documents
+FROM (SELECT DISTINCT source FROM mix_target WHERE source IS NOT NULL) t LEFT JOIN documents d ON d.source = t.source GROUP BY 1"""
