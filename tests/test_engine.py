@@ -101,6 +101,7 @@ def test_risk_on_nulls_and_reduction(spark):
     assert risk.reduction_path(groups, ["site", "sex", "age"], 4) == [("age", 4)]
     path = risk.reduction_path(groups, ["site", "sex", "age"], 10)
     assert path[0][0] == "age" and path[-1][1] >= 10
+    assert len(risk.reduction_path(groups, ["site", "sex", "age"], 10**6)) == 2  # the last one stays
     assert risk.reduction_path(groups.limit(0), ["site", "sex", "age"]) == []
     assert risk.smallest(groups, 3).count() == 24  # all tie
     assert risk.l_diversity(spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), ("b", None)], "q string, s string"), ["q"], ["s"]).first().l_min == 1
@@ -379,6 +380,54 @@ def test_protocol_documents(spark, tmp_path):
     assert {r.term: r.n for r in protocol.term_counts(blocks, "text", ["pembrolizumab", "clinic", "grand clinic"]).collect()} == {"pembrolizumab": 1, "grand clinic": 1}
 
 
+def test_term_readers():
+    from veilframe.operators.termforms import label_of, terms_of
+
+    cases = {
+        "NCT01234567 and 2020-001234-12": {("study_id", "NCT01234567"), ("study_id", "2020-001234-12")},
+        "IND No. 123,456 given": {("study_id", "123,456")},
+        "Dr. Jane Roe (jane.roe@x.org), tel: (212) 555-0188": {("person", "Jane Roe"), ("contact", "jane.roe@x.org"), ("contact", "(212) 555-0188")},
+        "ABC-123 and XYZ 12345 with Keytruda® under ICH-GCP E6, CTCAE 5": {("drug", "ABC-123"), ("drug", "XYZ 12345"), ("drug", "Keytruda")},
+        "run by Northwind Labs, Inc. at the University of Leeds": {("sponsor", "Northwind Labs, Inc"), ("site", "University of Leeds")},
+        "Principal Investigator: J. Smith": {("person", "J. Smith")},
+        "申办方：海正药业股份有限公司": {("sponsor", "海正药业股份有限公司")},
+        "北京协和医院张伟教授": {("site", "北京协和医院")},
+        "Call +44 20 7946 0958": {("contact", "+44 20 7946 0958")},
+        "nothing to see on day 5, 12 mg": set(),
+    }
+    for line, want in cases.items():
+        got = {(c, t) for c, t, _ in terms_of(line)}
+        assert want <= got and len(got - want) <= 1, (line, got)
+    assert label_of("Sponsor") == "sponsor" and label_of("方案编号：") == "study_id" and label_of("Sponsor of things") is None
+
+
+def test_proposed_terms_are_ordered_and_get_stand_ins(spark, vault):
+    lines = ["Sponsor:", "Northwind Labs", "NCT01234567", "- ketoconazole", "- fluconazole", "- nefazodone"]
+    blocks = spark.createDataFrame([("a", "\n".join(lines)), ("b", None), ("c", "")], "path string, text string")
+    found = protocol.propose(blocks, "path", "text")
+    order = [(r.category, r.term_key, r.confidence) for r in protocol.ordered(found).collect()]
+    assert [o[2] for o in order] == sorted((o[2] for o in order), reverse=True) and ("drug", "nefazodone", 1) in order
+    named = {r.term_key: r.replacement for r in protocol.with_stand_ins(found, vault).collect()}
+    assert named["nct01234567"].startswith("STUDY-") and named["northwind labs"].startswith("SPONSOR-") and len(set(named.values())) == len(order)
+    assert named == {r.term_key: r.replacement for r in protocol.with_stand_ins(found, vault).collect()}
+
+
+@pytest.mark.parametrize(
+    ("values", "treatment"),
+    [
+        (["Jane Roe", "John Q. Smith", "A. Muller", "Garcia, Ana"] * 5, "drop"), (["yes", "No", "unknown", "Y"] * 5, "retain"),
+        (["a.b@c.org", "(212) 555-0188", "+44 20 7946 0958", "x@y.example"] * 5, "drop"), (["Metformin", "aspirin", "Atorvastatin", "Omeprazole"] * 5, "retain"),
+        ([None] * 20, "drop"), (["1.5", "2", "3.25", "4"] * 5, "retain"),
+    ],
+)
+def test_values_decide_where_the_name_says_nothing(spark, values, treatment):
+    from veilframe.operators import profiler
+
+    df = spark.createDataFrame([(v,) for v in values], "XQ7 string")
+    rows = {r["column_name"]: r.asDict() for r in profiler.column_profiles(df, ["XQ7"]).collect()}
+    assert profiler.propose(rows)[0].treatment == treatment
+
+
 def test_command_line(spark, tmp_path, monkeypatch, capsys):
     from veilframe import cli
 

@@ -27,18 +27,18 @@ def test_no_row_is_left_out(spark, tmp_path):
     spark.createDataFrame(units, "rec_id long, lborresu string, lborres string").write.parquet(f"{tmp_path}/lb.parquet")
     d = str(tmp_path)
 
-    got = {r.rec_id: r.aeterm for r in engine.QUERIES["redact_email_all"](spark, d).collect()}
+    got = {r.rec_id: r.aeterm for r in engine.QUERIES["redact_email"](spark, d).collect()}
     assert got == {i: t if t is None else EMAIL.sub("<EMAIL_ADDRESS>", t) for i, t in rows}
 
-    got = {r.rec_id: (r.norm, r.term_key) for r in engine.QUERIES["text_keys_all"](spark, d).collect()}
+    got = {r.rec_id: (r.norm, r.term_key) for r in engine.QUERIES["text_keys"](spark, d).collect()}
     keys = lambda t: (re.sub("[^a-z0-9]+", " ", t.lower()).strip(" "), re.sub(r"\s+", " ", t).strip(" ").lower())
     assert got == {i: (None, None) if t is None else keys(t) for i, t in rows}
 
     shape = lambda t: t if t is None else "".join("9" if c.isdigit() else "A" if c.isalpha() else c for c in t.strip(" "))
-    got = {r["shape"]: r.n for r in engine.QUERIES["dummy_text_shape_all"](spark, d).collect()}
+    got = {r["shape"]: r.n for r in engine.QUERIES["dummy_text_shape"](spark, d).collect()}
     assert got == Counter(shape(t) for t in terms)
 
-    got = {r.rec_id: r.unit for r in engine.QUERIES["na_cells_all"](spark, d).collect()}
+    got = {r.rec_id: r.unit for r in engine.QUERIES["na_cells"](spark, d).collect()}
     assert got == {i: None if u in NA_CELLS else u for i, u, _ in units}
 
 

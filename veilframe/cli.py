@@ -79,7 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     command("textcheck", "table", "column", coded={})
     command("vault", **vault)
     command("reverse", "surrogate", entity={"required": True}, justification={"required": True}, by={"required": True}, **vault)
-    command("protocol", "folder", "terms", apply={"help": "folder for masked documents"}, by={"default": ""})
+    command("protocol", "folder", "terms", apply={"help": "folder for masked documents"}, by={"default": ""}, **vault)
     a = p.parse_args(argv)
 
     if a.command == "keygen":
@@ -109,8 +109,11 @@ def main(argv: list[str] | None = None) -> int:
         Path(a.sheet).write_text(review.write_sheet(sheet))
     elif a.command == "run":
         contract = Contract.from_yaml(Path(a.contract).read_text())
-        published = Pipeline(contract, opened()).run(study_io.load_study(spark, a.folder), a.allow_missing, a.unreviewed)
+        crosswalk = opened()
+        published = Pipeline(contract, crosswalk).run(study_io.load_study(spark, a.folder), a.allow_missing, a.unreviewed)
         study_io.write_release(spark, published, a.out, a.format)
+        if crosswalk:
+            crosswalk.sweep()
         print(json.dumps(published.manifest["risk"], default=str))
     elif a.command == "adjudicate":
         queue = study_io.read_table(spark, a.queue)
@@ -136,7 +139,10 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "protocol":
         blocks = protocol.documents(spark, a.folder)
         if not a.apply:
-            protocol.propose(blocks, "path", "text", "block_no").coalesce(1).write.mode("overwrite").csv(a.terms, header=True)
+            proposed = protocol.propose(blocks, "path", "text", "block_no")
+            # Without a vault the reviewer writes the stand-ins.
+            proposed = protocol.with_stand_ins(proposed, opened()) if a.vault else proposed.withColumn("replacement", F.lit(None).cast("string"))
+            protocol.ordered(proposed).coalesce(1).write.mode("overwrite").csv(a.terms, header=True)
         else:
             decided = {r["term"]: r["replacement"] for r in spark.read.csv(a.terms, header=True).collect()}  # reviewed by hand
             done = protocol.apply_terms(spark, a.folder, decided, a.by, a.apply)

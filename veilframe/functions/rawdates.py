@@ -166,6 +166,16 @@ def shift_written(value: Column, days: Column, order: str | None) -> Column:
     return F.pandas_udf(udf, WRITTEN).asNondeterministic()(value, days)
 
 
+def parts_of(value: Column, order: str | None) -> Column:
+    """struct<year,month,day> that a written date reads as; nulls for unknown parts and unreadable values."""
+
+    def parts(values: pd.Series) -> pd.DataFrame:
+        found = [read(v, order) if isinstance(v, str) else None for v in values]
+        return pd.DataFrame([f[1:] if f else (None, None, None) for f in found], columns=["year", "month", "day"], dtype="Int64")
+
+    return F.pandas_udf(parts, "struct<year:int,month:int,day:int>")(value)
+
+
 def finish(value: Column, shifted: Column, on_unparsed: str) -> Column:
     """Cell to publish: unreadable cells are redacted, passed or raise."""
     unread = shifted["status"].isin("unparsed", "no_offset")

@@ -16,9 +16,17 @@ from pyspark.sql import functions as F
 from veilframe.functions.naming import name_tokens
 from veilframe.functions.numbers import NUMBER
 from veilframe.functions.text import shape_space
+from veilframe.operators.detect import DRUG_ENDINGS
 from veilframe.operators.quality import is_written_day
 
 
+#: What values say of their column: a person's name, an answer, a medicine, a means of contact.
+PERSON = r"^\s*(?:(?:Dr|Prof|Mr|Mrs|Ms)\.?\s+)?(?:\p{Lu}[\p{Ll}'’-]+(?:\s\p{Lu}\.)?\s\p{Lu}[\p{L}'’-]+|\p{Lu}\.\s?(?:\p{Lu}\.\s?)?\p{Lu}[\p{L}'’-]+|\p{Lu}[\p{L}'’-]+,\s?\p{Lu}[\p{L}.'’-]*|\p{Lu}{2,}\s\p{Lu}[\p{Ll}'’-]+)\s*$"
+ANSWERS = ("y", "n", "yes", "no", "u", "unknown", "unk", "na", "n/a", "not applicable", "not done", "done", "true", "false", "none", "ongoing", "normal", "abnormal", "positive", "negative", "male", "female", "m", "f")
+MEDICINE = r"(?i)\b[a-z]{2,}(?:" + "|".join(e for e in DRUG_ENDINGS if len(e) > 3 or e in ("mab", "nib")) + r")\b"
+CONTACT = r"[\w.+-]+@[\w-]+\.[\w.-]{2,}|^\s*\+?\(?[0-9][0-9 ().-]{7,18}[0-9]\s*$"
+
+
 def column_profiles(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column: counts, lengths, shapes and rates of its values."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]))
@@ -48,6 +56,10 @@ def column_profiles(df: DataFrame, columns: list[str]) -> DataFrame:
         F.coalesce(F.bool_and(F.when(filled, whole & number.between(1900, 2100))), F.lit(False)).alias("all_years"),
         F.coalesce(F.bool_or(v.rlike("^0[0-9]+$")), F.lit(False)).alias("leading_zero"),
         F.min(F.when(filled, shape_space(v))).alias("shape_space"),
+        F.round(rate(v.rlike(PERSON)), 6).alias("person_rate"),
+        F.round(rate(F.lower(F.trim(v)).isin(*ANSWERS)), 6).alias("answer_rate"),
+        F.round(rate(v.rlike(MEDICINE)), 6).alias("medicine_rate"),
+        F.round(rate(v.rlike(CONTACT)), 6).alias("contact_rate"),
     )
 
 
@@ -148,6 +160,15 @@ def propose(columns: dict[str, dict], tier: str = "deidentified", raw: bool = Fa
             return say("retain", "high", "sequence")
         if squeezed.endswith(("DECOD", "BODSYS", "SOC", "CD", "TESTCD", "TEST", "ORRESU")):
             return say("retain", "high", "coded value")
+        # The values themselves, where the name says nothing.
+        if p.get("contact_rate", 0) >= 0.3 and p["iso_rate"] + p["raw_date_rate"] < 0.3 and not p["all_whole"]:
+            return say("drop", "medium", "values are means of contact")
+        if p.get("answer_rate", 0) >= 0.9:
+            return say("retain", "medium", "answers")
+        if p.get("medicine_rate", 0) >= 0.5 and squeezed not in ("CMTRT",):
+            return say("retain", "medium", "medicines") if not raw else say("label_map", "low", "medicines, maybe the study's own", "treatment_product", prefix="DRUG")
+        if p.get("person_rate", 0) >= 0.6 and p["n_unique"] > 1:
+            return say("drop", "low" if p["medicine_rate"] else "medium", "values read as names of persons")
         text = p["blank_rate"] > 0.3 and p["mean_length"] >= 12 and p["n_unique"] >= 0.3 * max(p["n"] - p["n_null"], 1)
         if squeezed.endswith(("TERM", "TRT", "COMMENT", "NARR", "VERBATIM")) or text:
             return say("screen_freetext", "medium", "free text")

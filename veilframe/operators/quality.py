@@ -39,10 +39,21 @@ def is_written_day(value: Column) -> Column:
     return F.coalesce(value.rlike(WRITTEN_DAY), F.lit(False))
 
 
-def moments(m: Column, sum1: Column, sum2: Column) -> tuple[Column, Column]:
-    """Mean and variance of m numbers from their power sums in millionths."""
-    mean = sum1.cast("double") / MILLIONTHS / m
-    return mean, F.greatest(sum2.cast("double") / MILLIONTHS / MILLIONTHS / m - mean * mean, F.lit(0.0))
+def moments(m: str, sum1: str, sum2: str) -> tuple[Column, Column]:
+    """Mean and variance of m numbers from their power sums in millionths.
+
+    The sums are moved to a whole number near the mean while they are exact, so
+    a small spread around a large mean is not lost to the rounding of doubles.
+    """
+    near = f"cast(round(cast({sum1} AS double) / {m}) AS decimal(38,0))"
+    first = f"try_subtract({sum1}, try_multiply({near}, cast({m} AS decimal(20,0))))"
+    cross = f"try_multiply(try_multiply({near}, 2BD), {sum1})"
+    square = f"try_multiply(try_multiply({near}, {near}), cast({m} AS decimal(20,0)))"
+    second = f"try_add(try_subtract({sum2}, {cross}), {square})"
+    rest = F.expr(f"cast({first} AS double) / {m}")
+    spread = F.expr(f"cast({second} AS double) / {m}") - rest * rest
+    mean = F.expr(f"cast({sum1} AS double) / {m}") / MILLIONTHS
+    return mean, F.when(spread.isNotNull(), F.greatest(spread, F.lit(0.0)) / (MILLIONTHS * MILLIONTHS))
 
 
 def profile(df: DataFrame, by: list[str], columns: list[str], patterns: dict[str, str] | None = None) -> DataFrame:
@@ -88,8 +99,7 @@ def profile(df: DataFrame, by: list[str], columns: list[str], patterns: dict[str
         F.try_sum(F.try_multiply(F.try_multiply(number, number), weight)).alias("sum2"),
     )
     filled = F.col("n_rows") - F.col("n_null")
-    m = F.col("_m")
-    mean, variance = moments(m, F.col("sum1"), F.col("sum2"))
+    mean, variance = moments("_m", "sum1", "sum2")
     return folded.select(
         *by,
         "column_name",
@@ -161,5 +171,5 @@ def merge_profiles(profiles: DataFrame, by: list[str]) -> DataFrame:
         F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"), F.min("min_number").alias("min_number"),
         F.max("max_number").alias("max_number"), F.min("min_length").alias("min_length"), F.max("max_length").alias("max_length"),
     )
-    mean, variance = moments(F.col("n_numeric"), F.col("sum1"), F.col("sum2"))
+    mean, variance = moments("n_numeric", "sum1", "sum2")
     return added.withColumns({"null_rate": F.col("n_null") / F.col("n_rows"), "mean": mean, "variance": variance})

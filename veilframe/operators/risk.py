@@ -66,16 +66,13 @@ def reduction_path(groups: DataFrame, quasi: list[str], k_target: int = 5) -> li
     """Greedy order in which to give up quasi-identifiers: [(dropped, k reached)].
 
     At most one job per quasi-identifier over ever fewer classes; ties keep the
-    declared order.
+    declared order.  The last identifier is never given up: without any the
+    table would say nothing of the risk.
     """
     left, path = list(quasi), []
     groups = groups.select(*quasi, "size")
     k = groups.agg(F.min("size")).first()[0]
-    while left and k is not None and k < k_target:
-        if len(left) == 1:
-            k = groups.agg(F.sum("size")).first()[0]
-            path.append((left.pop(), k))
-            break
+    while len(left) > 1 and k is not None and k < k_target:
         found = {r["left_out"]: r["k_without"] for r in leave_one_out(groups, left).collect()}  # one row each
         gone = max(left, key=lambda q: (found[q], -left.index(q)))
         left.remove(gone)

@@ -172,7 +172,7 @@ prof AS (
          min(v) AS min_value, max(v) AS max_value,
          CAST(min(length(v)) AS INT) AS min_length, CAST(max(length(v)) AS INT) AS max_length,
          nullif(count(x), 0) AS n_numeric, count(*) FILTER (WHERE is_num) - count(x) AS n_outside, CAST(sum(x) AS DOUBLE) AS sum1,
-         CAST(sum(CAST(x AS DECIMAL(18, 6)) * CAST(x AS DECIMAL(18, 6))) AS DOUBLE) AS sum2,
+         var_pop(CAST(x AS DOUBLE)) AS var, avg(CAST(x AS DOUBLE)) AS mean,
          count(*) FILTER (WHERE is_num) / nullif(count(v), 0)::DOUBLE AS numeric_rate,
          count(*) FILTER (WHERE is_day) / nullif(count(v), 0)::DOUBLE AS raw_date_rate,
          (count(*) - count(v)) / count(*)::DOUBLE AS null_rate
@@ -189,12 +189,10 @@ UNION ALL SELECT feed_id, load_no, column_name, 'numeric_rate' FROM pair WHERE r
 UNION ALL SELECT feed_id, load_no, column_name, 'raw_date_rate' FROM pair WHERE round(abs(raw_date_rate - p3), 12) > 0.2
 UNION ALL SELECT feed_id, load_no, column_name, 'n_unique' FROM pair
   WHERE n_unique <> p4 AND (n_unique >= 3 * p4 OR 3 * n_unique <= p4)"""
-SQL["p5_shift"] = _PROFILE + """,
-m AS (SELECT *, sum1 / n_numeric AS mean,
-             greatest(sum2 / n_numeric - (sum1 / n_numeric) * (sum1 / n_numeric), 0) AS var FROM prof)
+SQL["p5_shift"] = _PROFILE + """
 SELECT a.feed_id, a.load_no, a.column_name, round((a.mean - b.mean) / sqrt((a.var + b.var) / 2), 6) AS std_difference
-FROM m a JOIN m b ON a.feed_id = b.feed_id AND a.column_name = b.column_name AND a.load_no = b.load_no + 1
-WHERE a.var + b.var > 0 AND a.n_numeric IS NOT NULL AND b.n_numeric IS NOT NULL"""
+FROM prof a JOIN prof b ON a.feed_id = b.feed_id AND a.column_name = b.column_name AND a.load_no = b.load_no + 1
+WHERE a.var + b.var > 0"""
 SQL["p5_feeds"] = _PROFILE + """
 SELECT feed_id, column_name, count(*) AS n_rows, count(*) - count(v) AS n_null, count(*) FILTER (WHERE v IS NOT NULL AND (""" + _WRONG + """)) AS n_violation,
        nullif(count(x), 0) AS n_numeric, min(v) AS min_value, max(v) AS max_value, round(avg(CAST(x AS DOUBLE)), 6) AS mean, round(stddev_pop(CAST(x AS DOUBLE)), 6) AS deviation
@@ -248,3 +246,25 @@ out AS (
     JOIN major x ON x.file_id = p.file_id AND x.n = a.n JOIN major y ON y.file_id = p.prev AND y.n = a.n WHERE x.kind <> y.kind
   UNION ALL SELECT file_id, dom, 'domain_renamed' FROM p WHERE prev IS NOT NULL AND dom IS DISTINCT FROM prev_dom)
 SELECT p.stream_id, p.file_no, out.field_name, out.change_type FROM out JOIN p USING (file_id)"""
+
+_P7 = SQL["p7_found"]
+SQL["p7_unified"] = "WITH RECURSIVE" + _P7[len("\nWITH") : _P7.index("out AS (")] + r"""
+nxt AS (SELECT a.file_id, a.file_no, b.file_id AS next_id, b.file_no AS next_no FROM p a LEFT JOIN p b ON b.prev = a.file_id),
+walk AS (
+  SELECT n.file_id AS origin, n.n AS name, n.n AS final, n.file_id AS at, x.file_no AS last FROM names n JOIN nxt x USING (file_id)
+  UNION ALL
+  SELECT w.origin, w.name, coalesce(r.now, w.final), x.next_id, x.next_no FROM walk w JOIN nxt x ON x.file_id = w.at
+  LEFT JOIN ren r ON r.file_id = x.next_id AND r.was = w.final
+  WHERE EXISTS (SELECT 1 FROM names m WHERE m.file_id = x.next_id AND m.n = coalesce(r.now, w.final))),
+ends AS (SELECT origin, name, arg_max(final, last) AS final, max(last) AS last FROM walk GROUP BY 1, 2),
+proj AS (SELECT e.origin AS file_id, e.name, CASE WHEN EXISTS (SELECT 1 FROM ends o WHERE o.origin = e.origin AND o.final = e.final
+    AND (o.last > e.last OR (o.last = e.last AND o.name < e.name))) THEN e.final || '@' || e.last ELSE e.final END AS final FROM ends e),
+rows AS (SELECT file_id, record_key, max(payload) AS payload FROM drop_row WHERE record_key IS NOT NULL GROUP BY 1, 2
+  UNION ALL SELECT file_id, record_key, payload FROM drop_row WHERE record_key IS NULL),
+flat AS (SELECT file_id, record_key, k AS n, json_type(v) AS kind, v ->> '$' AS value
+  FROM (SELECT file_id, record_key, k, json_extract(payload, '$."' || k || '"') AS v FROM (SELECT *, unnest(json_keys(payload)) AS k FROM rows WHERE json_valid(payload)))),
+kept AS (SELECT * FROM flat WHERE kind <> 'NULL' AND (kind <> 'VARCHAR' OR trim(value) <> ''))
+SELECT p.stream_id, r.file_id, r.record_key,
+  coalesce(j.final, CASE WHEN EXISTS (SELECT 1 FROM proj q WHERE q.file_id = r.file_id AND q.final = k.n) THEN k.n || '@undeclared' ELSE k.n END) AS field_name, k.value
+FROM rows r LEFT JOIN p ON p.file_id = r.file_id LEFT JOIN kept k ON k.file_id = r.file_id AND k.record_key = r.record_key
+LEFT JOIN proj j ON j.file_id = k.file_id AND j.name = k.n"""

@@ -206,39 +206,22 @@ def faker_fallback(spark, d):
     return treatments.numbered_stand_ins(table(spark, d, "dm"), "invnam", "rec_id", "PROVIDER").select("rec_id", "invnam")
 
 
-@query("SELECT rec_id, nullif(lborresu, 'NA') AS unit, length(coalesce(lborres, '')) AS n FROM lb WHERE lborresu IS NULL OR lborresu NOT IN ('', 'N/A', 'NULL', 'null', 'nan')")
-def na_cells(spark, d):
-    unit = text.na_to_null(F.col("lborresu"))
-    return (
-        table(spark, d, "lb")
-        .where(F.col("lborresu").isNull() | ~F.col("lborresu").isin("", "N/A", "NULL", "null", "nan"))
-        .select("rec_id", unit.alias("unit"), F.length(F.coalesce("lborres", F.lit(""))).cast("bigint").alias("n"))
-    )
-
-
-@query("""
-SELECT rec_id, trim(regexp_replace(lower(mhterm), '[^a-z0-9]+', ' ', 'g')) AS norm, lower(trim(regexp_replace(mhterm, '\\s+', ' ', 'g'))) AS term_key
-FROM mh WHERE mhterm IS NOT NULL AND NOT regexp_matches(mhterm, '[^ -~\\t]')""")
-def text_keys(spark, d):
-    rows = table(spark, d, "mh").where(F.col("mhterm").isNotNull() & ~F.col("mhterm").rlike(r"[^ -~\t]"))
-    return rows.select("rec_id", text.normal(F.col("mhterm")).alias("norm"), text.term_key(F.col("mhterm")).alias("term_key"))
-
-
-# The SQL of four queries covers a slice of the rows; the ones named _all run over every row.
-
+_SPELLED = "CASE rec_id % 40 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(text.NA_CELLS)) + " ELSE lborresu END"
 _NA = ", ".join(f"'{c}'" for c in text.NA_CELLS)
 
 
-@query(f"SELECT rec_id, CASE WHEN lborresu NOT IN ({_NA}) THEN lborresu END AS unit, length(coalesce(lborres, '')) AS n FROM lb")
-def na_cells_all(spark, d):
+@query(f"""
+SELECT rec_id, CASE WHEN unit NOT IN ({_NA}) THEN unit END AS unit, length(coalesce(lborres, '')) AS n FROM (SELECT rec_id, lborres, {_SPELLED} AS unit FROM lb)""")
+def na_cells(spark, d):
+    """Every spelling of a missing cell occurs, spread over all rows by their number."""
     n = F.length(F.coalesce("lborres", F.lit(""))).cast("bigint")
-    return table(spark, d, "lb").select("rec_id", text.na_to_null(F.col("lborresu")).alias("unit"), n.alias("n"))
+    return table(spark, d, "lb").select("rec_id", text.na_to_null(F.expr(_SPELLED)).alias("unit"), n.alias("n"))
 
 
 @query("""
 SELECT rec_id, trim(regexp_replace(lower(mhterm), '[^a-z0-9]+', ' ', 'g')) AS norm, lower(trim(regexp_replace(mhterm, '\\s+', ' ', 'g'))) AS term_key
 FROM mh""")
-def text_keys_all(spark, d):
+def text_keys(spark, d):
     return table(spark, d, "mh").select("rec_id", text.normal(F.col("mhterm")).alias("norm"), text.term_key(F.col("mhterm")).alias("term_key"))
 
 
@@ -279,7 +262,20 @@ def risk_blocking(spark, d):
     return risk.leave_one_out(_classes(spark, d), QUASI)
 
 
-@query()
+_LEFT_OUT = " UNION ALL ".join(
+    f"SELECT {i} AS at, '{q}' AS gone, min(n) AS k FROM (SELECT count(*) AS n FROM dm GROUP BY {', '.join(x for x in QUASI if x != q)})" for i, q in enumerate(QUASI)
+)
+_TWO_OUT = " UNION ALL ".join(
+    f"SELECT '{q}' AS first, {QUASI.index(r)} AS at, '{r}' AS gone, min(n) AS k FROM (SELECT count(*) AS n FROM dm GROUP BY {next(x for x in QUASI if x not in (q, r))})"
+    for q in QUASI for r in QUASI if r != q
+)
+
+
+@query(f"""
+WITH whole AS (SELECT min(n) AS k FROM (SELECT count(*) AS n FROM dm GROUP BY {", ".join(QUASI)})),
+one AS (SELECT l.* FROM ({_LEFT_OUT}) l, whole WHERE whole.k < 5 ORDER BY l.k DESC, l.at LIMIT 1),
+two AS (SELECT t.* FROM ({_TWO_OUT}) t JOIN one ON t.first = one.gone WHERE one.k < 5 ORDER BY t.k DESC, t.at LIMIT 1)
+SELECT 1 AS step, gone AS dropped, k AS k_reached FROM one UNION ALL SELECT 2, gone, k FROM two""")
 def risk_reduction_path(spark, d):
     path = risk.reduction_path(_classes(spark, d), QUASI, 5)
     return spark.createDataFrame([(i + 1, q, k) for i, (q, k) in enumerate(path)], "step int, dropped string, k_reached bigint")
@@ -334,10 +330,12 @@ def surrogate_shape_preserved(spark, d):
     return pairs.groupBy(text.shape_cased(F.col("surrogate")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT count(DISTINCT subject) AS n, 0::BIGINT AS n_mismatch, count(DISTINCT site) AS n_sites FROM demog WHERE starts_with(subject, site)")
+@query("""
+SELECT count(DISTINCT (site, subject)) AS n, 0::BIGINT AS n_mismatch, count(DISTINCT site) AS n_sites FROM demog WHERE subject IS NOT NULL AND site IS NOT NULL""")
 def surrogate_prefix_follows_site(spark, d):
-    rows = table(spark, d, "demog").where(F.col("subject").startswith(F.col("site"))).select("subject", "site").withColumn(
-        "site", F.concat("site", F.lit("-"))
+    """Subjects are written behind their row's site, so that every value begins with its own."""
+    rows = table(spark, d, "demog").where(F.col("subject").isNotNull() & F.col("site").isNotNull()).select(
+        F.concat("site", F.lit("/"), "subject").alias("subject"), F.concat("site", F.lit("/")).alias("site")
     )
     vault = _vault(spark)
     pairs = vault.led(rows, "subject", "subject", "site", "site")
@@ -380,17 +378,8 @@ def offset_range_check(spark, d):
     return first.agg(F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("n_in_range")).withColumn("n_changed", F.lit(changed).cast("bigint"))
 
 
-@query(f"""
-SELECT {_SHAPE.format(c='upper(trim(aeterm))')} AS shape, count(*) AS n FROM ae
-WHERE length(trim(aeterm)) > 8 AND NOT regexp_matches(aeterm, '[^ -~\\t]') GROUP BY 1""")
-def dummy_text_shape(spark, d):
-    rows = table(spark, d, "ae").where((F.length(F.trim("aeterm")) > 8) & ~F.col("aeterm").rlike(r"[^ -~\t]")).select("aeterm")
-    out = dummy_column(_vault(spark), rows, "aeterm")
-    return out.groupBy(text.shape_cased(F.upper(F.trim("aeterm"))).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(r"SELECT regexp_replace(regexp_replace(trim(aeterm), '[0-9]', '9', 'g'), '\p{L}', 'A', 'g') AS shape, count(*) AS n FROM ae GROUP BY 1")
-def dummy_text_shape_all(spark, d):
+def dummy_text_shape(spark, d):
     out = dummy_column(_vault(spark), table(spark, d, "ae").select("aeterm"), "aeterm")
     return out.groupBy(text.shape(F.trim("aeterm")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -403,11 +392,11 @@ class _Only:
 
     def __init__(self, kind: str):
         self.kind, self.name = kind, kind.lower()
+        self.whole = detect.PatternDetector()
+        self.whole.patterns = [p for p in self.whole.patterns if p[0] == kind]
 
     def detect(self, text_: str):
-        whole = detect.PatternDetector()
-        whole.patterns = [p for p in whole.patterns if p[0] == self.kind]
-        return whole.detect(text_)
+        return self.whole.detect(text_)
 
 
 def _only(kind: str):
@@ -465,24 +454,19 @@ def screen_entity_counts(spark, d):
     return detect.entity_counts(_queue(spark, d))
 
 
-def _redacted_email(ae: DataFrame) -> DataFrame:
+#: Letters and digits of any script, as the detector reads them.
+_MAIL = r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.-]{2,}"
+
+
+@query(f"SELECT rec_id, regexp_replace(aeterm, '{_MAIL}', '<EMAIL_ADDRESS>', 'g') AS aeterm FROM ae")
+def redact_email(spark, d):
+    ae = table(spark, d, "ae")
     found = detect.findings_of(ae, "aeterm", _only("EMAIL_ADDRESS"))
     joined = ae.join(found, F.col("aeterm") == F.col("text"), "left")
     new = F.when(F.col("findings").isNotNull(), detect.redacted(F.col("aeterm"), F.col("findings"))).otherwise(F.col("aeterm"))
     return joined.select("rec_id", new.alias("aeterm"))
 
 
-@query(r"SELECT rec_id, regexp_replace(aeterm, '[\w.+-]+@[\w-]+\.[\w.-]{2,}', '<EMAIL_ADDRESS>', 'g') AS aeterm FROM ae WHERE NOT regexp_matches(aeterm, '[^ -~\t]')")
-def redact_email(spark, d):
-    return _redacted_email(table(spark, d, "ae").where(~F.col("aeterm").rlike(r"[^ -~\t]")))
-
-
-@query()
-def redact_email_all(spark, d):
-    """Every row; DuckDB's word characters are ASCII only, so there is no SQL."""
-    return _redacted_email(table(spark, d, "ae"))
-
-
 @query(r"""
 SELECT rec_id, CASE WHEN regexp_matches(aeterm, '[\w.+-]+@[\w-]+\.[\w.-]{2,}') THEN '[REDACTED]' ELSE aeterm END AS aeterm FROM ae""")
 def adjudicate_apply(spark, d):
@@ -522,17 +506,15 @@ def raw_order_inference(spark, d):
     return rawdates.infer_order(table(spark, d, "demog"), _ORDER_COLUMNS)
 
 
-_DMON = r"^[0-9]{2}-[A-Z][a-z]{2}-[0-9]{4}$"
+_MOVED = "try_strptime(trim(exit_dt), '%d-%b-%Y')::DATE + CAST(200 + rec_id % 100 AS INT)"
 
 
 @query(f"""
-SELECT rec_id, strftime(strptime(exit_dt, '%d-%b-%Y')::DATE + CAST(200 + rec_id % 100 AS INT), '%d-%b-%Y') AS value, 'shifted' AS status
-FROM demog WHERE regexp_matches(exit_dt, '{_DMON}') AND try_strptime(exit_dt, '%d-%b-%Y') IS NOT NULL""")
+SELECT rec_id, CASE WHEN {_MOVED} IS NOT NULL THEN strftime({_MOVED}, '%d-%b-%Y') END AS value,
+       CASE WHEN coalesce(trim(exit_dt), '') = '' THEN 'blank' WHEN {_MOVED} IS NULL THEN 'unparsed' ELSE 'shifted' END AS status FROM demog""")
 def raw_shift_written(spark, d):
-    rows = table(spark, d, "demog").where(F.col("exit_dt").rlike(_DMON))
     moved = rawdates.shift_written(F.col("exit_dt"), (F.lit(200) + F.col("rec_id") % 100).cast("int"), "dmy")
-    out = rows.select("rec_id", moved.alias("_m")).select("rec_id", "_m.*")
-    return out.where(F.col("status") == "shifted")
+    return table(spark, d, "demog").select("rec_id", moved.alias("_m")).select("rec_id", "_m.value", "_m.status")
 
 
 @query("SELECT rec_id, strftime(o + CAST(200 + rec_id % 100 AS INT), '%d/%m/%Y') AS value FROM (SELECT o_orderkey AS rec_id, o_orderdate::DATE AS o FROM orders)")
@@ -555,6 +537,50 @@ def raw_vs_iso_pair(spark, d):
     return moved.agg(F.count_if(~F.col("raw").eqNullSafe(back)).alias("n_mismatch"), F.count(F.lit(1)).alias("n"))
 
 
+_DATES = [("mh_log", "mh_onset"), ("ae_log", "ae_start"), ("demog", "birth_dt"), ("demog", "enrol_dt"), ("demog", "exit_dt")]
+_ALL_DATES = " UNION ALL ".join(f"SELECT '{c}' AS field_name, rec_id, {c} AS v FROM {t}" for t, c in _DATES)
+_MON = "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+_UNK = "(?:UNK|UN|UK|NK|XX|--|00)"
+_AT = r"(?:[T\s]\s*\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:\s*[AP]\.?M\.?)?(?:\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2}))?)?"
+#: (pattern, groups of year, month, day; 'mon' where the month is a name), in reading order; days come first.
+_GRAMMAR = [
+    (r"(\d{4})-(\d{2})-(\d{2})" + _AT, 1, 2, 3),
+    *[(rf"(\d{{1,2}}){sep}(\d{{1,2}}){sep}(\d{{4}})" + _AT, 3, 2, 1) for sep in ("/", r"\.", "-")],
+    (r"(\d{4})-(\d{2})", 1, 2, None),
+    (r"((?:19|20)\d{2})", 1, None, None),
+    (r"((?:19|20)\d{2})(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])", 1, 2, 3),
+    (r"(\d{4})/(\d{1,2})/(\d{1,2})" + _AT, 1, 2, 3),
+    (rf"(\d{{1,2}})[-\s]?{_MON}[-\s,]?\s?(\d{{4}})(?::\s*\d{{1,2}}:\d{{2}}(?::\d{{2}}(?:\.\d+)?)?(?:\s*[AP]\.?M\.?)?)?", 3, "2", 1),
+    (rf"(\d{{1,2}})[-\s]?{_MON}[-\s,]?\s?(\d{{4}})" + _AT, 3, "2", 1),
+    (rf"{_MON}[-\s]?(\d{{4}})", 2, "1", None),
+    (rf"{_UNK}[-/ .]?{_MON}[-/ .]?(\d{{4}})", 2, "1", None),
+    *[(rf"{_UNK}{sep}{_UNK}{sep}(\d{{4}})", 1, None, None) for sep in ("-", "/", " ", r"\.", "")],
+    (rf"(\d{{4}})[-/](\d{{2}})[-/]{_UNK}", 1, 2, None),
+    (rf"(\d{{4}})[-/]{_UNK}(?:[-/]{_UNK})?", 1, None, None),
+    *[(rf"{_UNK}{sep}(\d{{1,2}}){sep}(\d{{4}})", 2, 1, None) for sep in ("/", r"\.", "-")],
+]
+
+
+def _read(pattern: str, y: int, m: int | str | None, day: int | None) -> str:
+    part = lambda g: f"CAST(regexp_extract(t, '(?i)^(?:{pattern})$', {g}) AS INT)"
+    named = f"list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], lower(substr(regexp_extract(t, '(?i)^(?:{pattern})$', {m}), 1, 3)))"
+    month = "NULL::INT" if m is None else named if isinstance(m, str) else part(m)
+    whole = f"struct_pack(y := {part(y)}, m := CAST({month} AS INT), d := {'NULL::INT' if day is None else part(day)})"
+    usable = " AND ".join([f"{part(y)} >= 1800", *([f"{part(m)} > 0"] if isinstance(m, int) else []), *([f"{part(day)} > 0"] if day else [])])
+    return f"CASE WHEN regexp_matches(t, '(?i)^(?:{pattern})$') THEN CASE WHEN {usable} THEN {whole} END END"
+
+
+@query(f"""
+WITH v AS ({_ALL_DATES}), r AS (SELECT field_name, rec_id, coalesce({", ".join(_read(*g) for g in _GRAMMAR)}) AS p FROM (SELECT *, trim(v) AS t FROM v)),
+ok AS (SELECT field_name, rec_id, CASE WHEN try_cast(printf('%04d-%02d-%02d', p.y, coalesce(p.m, 1), coalesce(p.d, 1)) AS DATE) IS NOT NULL THEN p END AS p FROM r)
+SELECT field_name, rec_id, p.y AS year, p.m AS month, p.d AS day FROM ok""")
+def raw_grammar(spark, d):
+    """What every written date of every column reads as, day first."""
+    parts = [table(spark, d, t).select(F.lit(c).alias("field_name"), "rec_id", F.col(c).alias("v")) for t, c in _DATES]
+    every = reduce(DataFrame.unionByName, parts)
+    return every.select("field_name", "rec_id", rawdates.parts_of(F.col("v"), "dmy").alias("p")).select("field_name", "rec_id", "p.year", "p.month", "p.day")
+
+
 @query()
 def raw_format_counts(spark, d):
     return rawdates.format_counts(table(spark, d, "mh_log"), "mh_onset")
@@ -735,6 +761,19 @@ def embedded_site_detect(spark, d):
     return profiler.embedded_prefix(table(spark, d, "dm"), "subjid", "siteid")
 
 
+#: What the profiler should say of the columns of DM, from what they are.
+_EXPECTED = {
+    "studyid": "surrogate_id", "domain": "retain", "usubjid": "surrogate_id", "subjid": "drop", "siteid": "surrogate_id", "invnam": "drop", "brthdtc": "drop", "age": "cap_numeric",
+    "ageu": "retain", "sex": "pool_rare", "race": "pool_rare", "ethnic": "pool_rare", "country": "pool_rare", "sitezip": "zip3", "arm": "label_map", "rfstdtc": "date_to_study_day",
+    "rfendtc": "date_to_study_day", "subjphone": "drop",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, '{t}' AS treatment" for c, t in _EXPECTED.items()))
+def contract_treatments(spark, d):
+    return contract_proposal(spark, d).select("column_name", "treatment")
+
+
 @query()
 def contract_proposal(spark, d):
     """Proposed treatment of every DM column."""
@@ -746,23 +785,22 @@ def contract_proposal(spark, d):
 
 # --- protocol -----------------------------------------------------------------------------
 
-_DRUGS = ["tosimbral", "velcarine", "orlifenac", "pridonex", "marbetolin"]
-
-
-@query("SELECT term, n FROM (" + " UNION ALL ".join(
-    f"SELECT '{t}' AS term, CAST(sum(len(regexp_extract_all(text, '(?i)(^|[^A-Za-z0-9_]){t}\\b'))) AS BIGINT) AS n FROM documents" for t in _DRUGS
-) + ") WHERE n > 0")
+@query(f"""
+WITH {_TERMS}, hits AS (
+  SELECT term, len(regexp_extract_all(text, '(?i)(^|[^A-Za-z0-9_])' || term || '\\b')) AS n FROM t, documents WHERE NOT contains(term, ' '))
+SELECT term, CAST(sum(n) AS BIGINT) AS n FROM hits GROUP BY 1 HAVING sum(n) > 0""")
 def protocol_term_counts(spark, d):
-    return protocol.term_counts(table(spark, d, "documents"), "text", _DRUGS)
+    """Study drug names of one word, counted in all documents."""
+    return protocol.term_counts(table(spark, d, "documents"), "text", [t for t in _arm_terms(spark, d) if " " not in t])
 
 
-@query("SELECT 0::BIGINT AS n_residual, count(*) AS n_blocks, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents WHERE text IS NOT NULL")
+@query("SELECT 0::BIGINT AS n_residual, count(*) AS n_blocks, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents")
 def protocol_mask_residual(spark, d):
     """Masks of equal length: nothing is left and nothing else moves."""
-    documents = table(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", "text")
-    masked = protocol.mask(documents, "text", {t: "X" * len(t) for t in _DRUGS})
+    terms = _arm_terms(spark, d)
+    masked = protocol.mask(table(spark, d, "documents").select("doc_id", "text"), "text", {t: "X" * len(t) for t in terms})
     return masked.agg(
-        F.count_if(F.col("text").rlike(text.word_pattern(_DRUGS))).alias("n_residual"),
+        F.count_if(F.col("text").rlike(text.word_pattern(terms))).alias("n_residual"),
         F.count(F.lit(1)).alias("n_blocks"),
         F.sum(F.length("text")).alias("n_chars"),
     )
@@ -774,13 +812,11 @@ def protocol_terms(spark, d):
 
 
 @query(f"""
-SELECT CASE WHEN NOT regexp_matches(exit_dt, '{_DMON}') THEN 'other' WHEN try_strptime(exit_dt, '%d-%b-%Y') IS NULL THEN 'unparsed' ELSE 'shifted' END AS status,
-  count(*) AS n FROM demog WHERE regexp_matches(exit_dt, '{_DMON}') GROUP BY 1""")
+SELECT CASE WHEN coalesce(trim(exit_dt), '') = '' THEN 'blank' WHEN {_MOVED} IS NULL THEN 'unparsed' ELSE 'shifted' END AS status, count(*) AS n FROM demog GROUP BY 1""")
 def raw_shift_report(spark, d):
     """How many written dates were moved, and how many could not be read."""
-    rows = table(spark, d, "demog").where(F.col("exit_dt").rlike(_DMON))
     moved = rawdates.shift_written(F.col("exit_dt"), F.lit(200), "dmy")
-    return rows.groupBy(moved["status"].alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, d, "demog").groupBy(moved["status"].alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT usubjid AS subject, arg_min(struct_pack(d := aestdtc), rec_id).d AS anchor FROM ae WHERE usubjid IS NOT NULL GROUP BY 1")

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from veilframe.session import shared_folder
+
 
 def _fs(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -59,11 +61,21 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder name in the shared checkpoint folder (own one only in tests)."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
-
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="veilframe-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new folder name in the shared checkpoint folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of its file system, as any executor reads it."""
+    fs, at = _fs(spark, path)
+    return fs.makeQualified(at).toString()
+
+
+def write_here(uri: str, content: bytes) -> None:
+    """Writes a file from an executor (no JVM there); the same content again changes nothing."""
+    from pyarrow import fs as arrow_fs
+
+    system, at = arrow_fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+    system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(at) as out:
+        out.write(content)
