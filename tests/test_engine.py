@@ -65,7 +65,6 @@ def test_offsets_labels_and_destroy(spark, vault):
     a = dict(vault.offsets(_ids(spark, ["x", "y", None])).collect())
     assert dict(vault.offsets(_ids(spark, ["x", "y", "z"])).collect()) | a == dict(vault.offsets(_ids(spark, ["x", "y", "z"])).collect())
     assert all(180 <= abs(d) <= 540 for d in a.values())
-    assert [r.value for r in vault.known_offsets(_ids(spark, ["x", "q"])).collect()] == ["x"]
     labels = dict(vault.labels(_ids(spark, ["Drug", " drug ", "Placebo", "keep"]), "treatment", "ARM", ("KEEP",)).collect())
     assert sorted(labels.values()) == ["ARM A", "ARM B"] and set(labels) == {"DRUG", "PLACEBO"}
     with pytest.raises(VaultError):

@@ -1,4 +1,4 @@
-"""Command line: keygen, profile, treatments, approve, run, adjudicate, risk, textcheck, vault, reverse, protocol."""
+"""Command line: keygen, profile, treatments, approve, run, adjudicate, risk, textcheck, vault, reverse, donor, protocol."""
 
 from __future__ import annotations
 
@@ -10,11 +10,12 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from veilframe.functions import rawdates
+from veilframe.functions.naming import move_group
 from veilframe.operators import detect, profiler, protocol, risk, textcheck
 from veilframe.operators.vault import Vault
 from veilframe.plans import review
 from veilframe.plans.contract import TREATMENTS, Anchor, Contract, Domain, Risk, Rule
-from veilframe.plans.pipeline import Pipeline
+from veilframe.plans.pipeline import Pipeline, selfcheck
 from veilframe.session import build_session
 from veilframe.sources import files, keys, study_io
 
@@ -79,6 +80,7 @@ def main(argv: list[str] | None = None) -> int:
     command("textcheck", "table", "column", coded={})
     command("vault", **vault)
     command("reverse", "surrogate", entity={"required": True}, justification={"required": True}, by={"required": True}, **vault)
+    command("donor", "recipient", "folder", "domain", "column", justification={"required": True}, by={"required": True}, **vault)
     command("protocol", "folder", "terms", apply={"help": "folder for masked documents"}, by={"default": ""}, **vault)
     a = p.parse_args(argv)
 
@@ -110,11 +112,19 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "run":
         contract = Contract.from_yaml(Path(a.contract).read_text())
         crosswalk = opened()
-        published = Pipeline(contract, crosswalk).run(study_io.load_study(spark, a.folder), a.allow_missing, a.unreviewed)
-        study_io.write_release(spark, published, a.out, a.format)
+        study = study_io.load_study(spark, a.folder)
+        published = Pipeline(contract, crosswalk).run(study, a.allow_missing, a.unreviewed)
+        # What went in, for whoever repeats the run; the checks read what was written.
+        published.manifest["inputs"] = {r["path"].rsplit("/", 1)[-1]: r["sha256"] for r in study_io.checksums(spark, a.folder).collect()}
+        paths = study_io.write_release(spark, published, a.out, a.format)
+        failed = selfcheck({n: study_io.read_table(spark, p) for n, p in paths.items()}, study, contract) if a.format == "parquet" else []
+        files.write_text(spark, f"{a.out.rstrip('/')}_review/selfcheck.json", json.dumps(failed, indent=1))
         if crosswalk:
             crosswalk.sweep()
         print(json.dumps(published.manifest["risk"], default=str))
+        if failed:
+            print("\n".join(failed), file=sys.stderr)
+            return 3
     elif a.command == "adjudicate":
         queue = study_io.read_table(spark, a.queue)
         pending = queue.where(F.upper(F.trim(F.coalesce("verdict", F.lit("")))).isin(*detect.UNREVIEWED)).count()
@@ -136,6 +146,9 @@ def main(argv: list[str] | None = None) -> int:
         opened().stats().show(truncate=False)
     elif a.command == "reverse":
         opened().reverse([a.surrogate], a.entity, a.by, a.justification).show(truncate=False)
+    elif a.command == "donor":
+        subjects = study_io.load_study(spark, a.folder)[a.domain].select(F.col(a.column).cast("string"))
+        opened().donor_of(a.recipient, move_group(a.domain) or a.domain, a.by, a.justification, subjects).show(truncate=False)
     elif a.command == "protocol":
         blocks = protocol.documents(spark, a.folder)
         if not a.apply:

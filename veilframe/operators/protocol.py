@@ -150,14 +150,6 @@ def labelled_terms(blocks: DataFrame, doc: str, position: str, text: str) -> Dat
     return near.withColumn("category", label("_line")).where(F.col("category").isNotNull()).select("doc", "category", "term")
 
 
-def aliases(blocks: DataFrame, text: str, terms: list[str]) -> DataFrame:
-    """(term, alias): short forms written in brackets after a term."""
-    pattern = word_pattern(terms) + r"\s*[(（][A-Za-z][A-Za-z0-9-]{1,15}[)）]"
-    found = blocks.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias("hit"))
-    term = F.lower(F.trim(F.regexp_extract("hit", r"^(.*?)\s*[(（]", 1)))
-    return found.select(term.alias("term"), F.regexp_extract("hit", r"[(（]([^)）]+)[)）]$", 1).alias("alias")).distinct()
-
-
 def apply_terms(spark: SparkSession, folder: str, mapping: dict[str, str], approver: str, out: str) -> dict[str, int | str]:
     """Masked copies of all documents, read back and counted; every term needs a stand-in."""
     if not approver.strip():

@@ -269,11 +269,6 @@ class Vault:
             self.append("date_offset", new.select("lookup").mapInPandas(draw, "lookup string, days int"))
         return wanted.join(self.read("date_offset"), "lookup").select("value", "days")
 
-    def known_offsets(self, keys: DataFrame) -> DataFrame:
-        """Keys that already have a shift, asked before any is issued."""
-        distinct = keys.toDF("value").where(F.col("value").isNotNull()).distinct()
-        return self.with_lookup(distinct, "value", "offset").join(self.read("date_offset"), "lookup", "left_semi").select("value")
-
     def labels(self, values: DataFrame, entity: str, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
         """(key, label): ``PREFIX A..Z, AA..`` for trimmed upper-case values, in random order."""
         kept = {k.strip().upper() for k in keep}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.functions import dates, numbers, rawdates, text
@@ -203,6 +203,8 @@ class Pipeline:
                 relabelled = [r.published for r in d.rules if r.treatment == "label_map"]
                 leaks += [r.asDict() for r in blinding.audit(tables[d.name], terms, d.name, ROW, relabelled).collect()]  # per term and column
         manifest = self._manifest(measured, leaks, queue, notes, reassigned)
+        if anchor is not None:
+            manifest["anchor"] |= anchor.agg(F.count(F.lit(1)).alias("subjects"), F.count("anchor").alias("with_reference")).first().asDict()
         manifest["unconverted_dates"] = {d.name: unconverted_dates(contract, d, study[d.name], tables[d.name]) for d in contract.domains if d.name in tables}
         return Published(tables, queue, measured, leaks, manifest, notes)
 
@@ -292,12 +294,6 @@ def unconverted_dates(contract: Contract, domain: Domain, source: DataFrame, out
     return {n: had[n] - has[n] for n in had if had[n] > has[n]}
 
 
-def observed(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, Observation]:
-    """Counters filled while the table is written, without a job of their own."""
-    seen = Observation(name)
-    return df.observe(seen, *[c.alias(n) for n, c in counters.items()]), seen
-
-
 def selfcheck(published: dict[str, DataFrame], source: dict[str, DataFrame], contract: Contract) -> list[str]:
     """Properties every published tier must have; returns what fails."""
     wrong = []

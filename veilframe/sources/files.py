@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -71,11 +72,27 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(at).toString()
 
 
-def write_here(uri: str, content: bytes) -> None:
-    """Writes a file from an executor (no JVM there); the same content again changes nothing."""
+def _arrow(uri: str):
+    """File system and path of a URI where there is no JVM (executors)."""
     from pyarrow import fs as arrow_fs
 
-    system, at = arrow_fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+    if uri.startswith("file:"):
+        return arrow_fs.LocalFileSystem(), "/" + unquote(uri[5:]).lstrip("/")
+    if "://" not in uri:
+        return arrow_fs.LocalFileSystem(), uri
+    return arrow_fs.FileSystem.from_uri(uri)
+
+
+def write_here(uri: str, content: bytes) -> None:
+    """Writes a file from an executor; the same content again changes nothing."""
+    system, at = _arrow(uri)
     system.create_dir(at.rsplit("/", 1)[0], recursive=True)
     with system.open_output_stream(at) as out:
         out.write(content)
+
+
+def read_here(uri: str) -> bytes:
+    """Content of a file of any scheme, read where the caller runs."""
+    system, at = _arrow(uri)
+    with system.open_input_stream(at) as content:
+        return content.read()

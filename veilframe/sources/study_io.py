@@ -66,9 +66,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     if suffix in (".parquet", ".pq"):
         return spark.read.parquet(base)
     if suffix in (".xlsx", ".xlsm"):
-        return workbook.midnight_fix(workbook.read(spark, base, sheet or None))
+        return workbook.midnight_fix(workbook.read(spark, files.qualified(spark, base), sheet or None))
     if suffix == ".xpt":
-        return xport.read(spark, base)
+        return xport.read(spark, files.qualified(spark, base))
     if suffix == ".sas7bdat":
         return _sas(spark, base)
     sep = "\t" if suffix == ".tsv" else ","
@@ -85,8 +85,8 @@ def _sas(spark: SparkSession, path: str) -> DataFrame:
 
 
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, sha256) of every file of a folder."""
-    return spark.read.format("binaryFile").load(folder).select("path", F.sha2("content", 256).alias("sha256"))
+    """(path, sha256) of every file of a folder and those below it."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.sha2("content", 256).alias("sha256"))
 
 
 def load_study(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -103,6 +103,8 @@ def write_table(df: DataFrame, path: str) -> None:
         out.write.mode("overwrite").parquet(path)
     elif path.endswith((".csv", ".tsv")):
         out.write.mode("overwrite").csv(path, header=True, sep="\t" if path.endswith(".tsv") else ",", escape='"')
+    elif path.endswith(".xlsx"):
+        workbook.write({PurePosixPath(path).stem.upper(): out}, path)  # a sheet for people to read; rows pass the driver one by one
     else:
         raise ValueError(f"cannot write {path}")
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
+from veilframe.sources import files
+
 _M = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 # Built-in number formats that show dates.
@@ -22,8 +24,7 @@ DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 
 
 def _content(path: str) -> bytes:
-    with open(re.sub(r"^file:(//)?", "", path), "rb") as book:
-        return book.read()
+    return files.read_here(path)
 
 
 def _column(ref: str) -> int:

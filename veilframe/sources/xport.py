@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
+from veilframe.sources import files
+
 LINE = 80
 _HEAD = b"HEADER RECORD*******"
 
@@ -67,8 +69,7 @@ def rows(content: bytes, member: str | None = None) -> Iterator[tuple]:
 
 
 def _content(path: str) -> bytes:
-    with open(re.sub(r"^file:(//)?", "", path), "rb") as file:
-        return file.read()
+    return files.read_here(path)
 
 
 class _Reader(DataSourceReader):
