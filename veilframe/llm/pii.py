@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from veilframe.llm import pii_corpus
 
 LABELS = ["other", "name", "email", "phone", "id_number", "address"]
-TRAINING_TEXTS = 26000
+TRAINING_TEXTS = 30000
 BUCKETS, EPOCHS, BATCH = 1 << 17, 6, 1536
 #: Times evidence must be met in training.
 LEAST_SEEN = 3

@@ -287,7 +287,7 @@ def _cue(r: random.Random, kind: str, table: dict[str, list[str]], families: set
 
 def phrase(r: random.Random, families: set[str]) -> list[str | tuple[str, str]]:
     """Cue, detail and trailer, as text and (label, detail) parts."""
-    kind = r.choices(["name", "phone", "email", "address", "id_number", "mixed"], [44, 10, 4, 12, 12, 18])[0]
+    kind = r.choices(["name", "phone", "email", "address", "id_number", "mixed"], [42, 10, 3, 11, 11, 26])[0]
     tail = r.choice(_TRAILERS)
     if kind == "name":
         who = ("name", person(r))
@@ -348,6 +348,9 @@ def sentence(r: random.Random, terms: list[str], families: set[str] | None = Non
         group = r.choice(_COURSE) + " " + group
     style = r.random()
     if style < 0.38:  # no detail
+        if r.random() < 0.25:  # a condition no list knows, written like any other
+            group = " ".join(word(r, r.choice([2, 3, 3, 4])) if r.random() < 0.7 else r.choice(_FILLER) for _ in range(r.choice([1, 1, 2, 3])))
+            group = r.choice([group, group.capitalize(), group.capitalize(), group.title(), group.upper()])
         say(r.choice(["", "", "", "- ", "* ", " ", "(", '"']), group)
         for _ in range(r.choice([0, 1, 1, 1, 2])):
             extra = decoy(r) if r.random() < 0.6 else r.choice(_ENDINGS) if r.random() < 0.8 else " ".join(r.sample(_FILLER, r.choice([1, 2, 3])))
@@ -362,7 +365,7 @@ def sentence(r: random.Random, terms: list[str], families: set[str] | None = Non
             say(r.choice([*_WHEN, " at home", " after work", " during the visit", " since last week", " at breakfast"]))
         if r.random() < 0.2:
             say(r.choice(_JOIN), *phrase(r, families))
-    elif style < 0.8:
+    elif style < 0.76:
         bracket = r.random() < 0.18
         say(group, r.choice([" (", " [", " <"]) if bracket else r.choice(_JOIN), *body, r.choice([")", "]", ""]) if bracket else "")
     elif style < 0.93:
