@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilframe.functions.text import shape_space
 from veilframe.operators.ordering import dense_index
 from veilframe.operators.treatments import lookup
 from veilframe.sources import files
@@ -126,11 +127,14 @@ class Vault:
             return self.spark.createDataFrame([], SCHEMAS[table])
         return self.spark.read.schema(SCHEMAS[table]).parquet(*commits)
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame) -> int:
+        """Commits rows and returns their number (from the files' footers)."""
         name = f"{datetime.now(UTC):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         staged = f"{self.path}/_staging/{table}-{name}"
         rows.write.parquet(staged)
-        files.rename(self.spark, staged, f"{self.path}/{table}/{name}")
+        final = f"{self.path}/{table}/{name}"
+        files.rename(self.spark, staged, final)
+        return self.spark.read.schema(SCHEMAS[table]).parquet(final).count()
 
     def _stage(self, rows: DataFrame) -> DataFrame:
         """Write and read back: whatever was drawn is now fixed.  Originals rest encrypted."""
@@ -185,18 +189,20 @@ class Vault:
         wanted = self._stage(self.with_lookup(distinct, "value", entity))
         issued = self.read("surrogate").where(F.col("entity") == entity)
         new = wanted.join(issued, "lookup", "left_anti")
-        if not new.isEmpty():
+        # One pass: how many are new, which of them are stand-ins already, which have too few shapes.
+        taken = issued.select(F.col("surrogate").alias("value"), F.lit(True).alias("_taken")).distinct()
+        narrow = F.lit(False) if prefix else shape_space(F.col("value")) < MIN_SPACE
+        state = new.join(taken, "value", "left").agg(
+            F.count(F.lit(1)).alias("n"), F.count("_taken").alias("clash"), F.count_if(narrow).alias("narrow")
+        ).first()
+        if state["clash"]:
+            raise VaultError(f"an original of {entity} is already a stand-in")
+        if state["narrow"]:
+            raise VaultError(f"shapes of {entity} leave too few stand-ins")
+        if state["n"]:
             known = self.read("seen_original").where(F.col("entity") == entity)
             self.append("seen_original", new.join(known, "lookup", "left_anti").select(F.lit(entity).alias("entity"), "lookup"))
-            clash = new.join(issued, F.col("value") == F.col("surrogate"), "left_semi")
-            if not clash.isEmpty():
-                raise VaultError(f"an original of {entity} is already a stand-in")
-            if prefix is None:
-                from veilframe.functions.text import shape_space
-
-                if not new.where(shape_space(F.col("value")) < MIN_SPACE).isEmpty():
-                    raise VaultError(f"shapes of {entity} leave too few stand-ins")
-            self._issue(new, entity, prefixed(prefix) if prefix else shaped, leads)
+            self._issue(new, state["n"], entity, prefixed(prefix) if prefix else shaped, leads)
         issued = self.read("surrogate").where(F.col("entity") == entity).select("lookup", "surrogate")
         return wanted.join(issued, "lookup").select("value", "surrogate")
 
@@ -215,7 +221,7 @@ class Vault:
         leads = self._stage(rows.join(lookup(heads), "head").select("value", "lead"))
         return self.surrogates(rows.select("value"), entity, None, leads)
 
-    def _issue(self, new: DataFrame, entity: str, make: Callable[[pd.Series], list[str]], leads: DataFrame | None = None) -> None:
+    def _issue(self, new: DataFrame, n: int, entity: str, make: Callable[[pd.Series], list[str]], leads: DataFrame | None = None) -> None:
         left = new.select("value", "lookup")
         for _ in range(ROUNDS):
             drawn = self._draw(left, make)
@@ -240,10 +246,10 @@ class Vault:
                 "surrogate",
                 F.lit(_now()).alias("issued_at"),
             )
-            self.append("surrogate", rows)
-            left = self._stage(left.join(self.read("surrogate").where(F.col("entity") == entity), "lookup", "left_anti"))
-            if left.isEmpty():
+            n -= self.append("surrogate", rows)
+            if n == 0:
                 return
+            left = self._stage(left.join(self.read("surrogate").where(F.col("entity") == entity), "lookup", "left_anti"))
         raise VaultError(f"no free stand-ins left for {entity}")
 
     def replace(self, df: DataFrame, column: str, entity: str, prefix: str | None = None, key: Column | None = None) -> DataFrame:
