@@ -277,6 +277,22 @@ def test_nested_schemas_are_compared_below():
 
 # --- timestamps -----------------------------------------------------------------------
 
+
+def test_only_ruled_out_interpretations_are_dropped_and_one_path_costs_the_same():
+    import pandas as pd
+
+    r = random.Random(12)
+    both = timestamps.readings("05/06/2024", None)
+    assert [x[0] for x in timestamps.possible(both, "dmy")] == ["dmy"] and len(timestamps.possible(both, None)) == 2
+    assert timestamps.possible((), "dmy") == [] and len(timestamps.possible(timestamps.readings("13/06/2024", None), "mdy")) == 1
+    for _ in range(40):
+        options = [r.choice(timestamps.possible(timestamps.readings(f"{r.randrange(1, 29)}/{r.randrange(1, 13)}/2024", None), None)) for _ in range(r.randrange(1, 9))]
+        declared = [r.choice(["dmy", "mdy", None]) for _ in options]
+        frame = pd.DataFrame({"ord": [o[0] for o in options], "at": [o[1] for o in options], "norm": [o[2] for o in options], "more": None, "date_order": declared})
+        costs, _, _ = timestamps.block_costs([((o,), d) for o, d in zip(options, declared)])
+        assert costs == [[timestamps.one_path_cost(frame)]]
+
+
 CASES = [
     ("25-Sep-2023", "dmy", None, "2023-09-25"), ("1 déc. 2024", "dmy", None, "2024-12-01"), ("18. März 2025", "dmy", None, "2025-03-18"),
     ("19JUL23", "dmy", None, "2023-07-19"), ("UNAUG2023", "dmy", None, "2023-08"), ("UN/UN/2012", "mdy", None, "2012"), (" 2024", "mdy", None, "2024"),

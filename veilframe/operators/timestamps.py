@@ -6,7 +6,8 @@ source in record order: an interpretation against the source's declared day and
 month order costs ``OFF_ORDER``, a change of order between records costs
 ``SWITCH`` and a step back in time costs ``BACKWARD``.  ``OFF_ORDER`` outweighs
 all transitions a single choice can save, so a declared order always holds
-where it gives a date, and the path decides only where none is declared.
+where it gives a date, and the path decides only where none is declared; an
+interpretation that this rules out is left out of the array at once.
 
 The path is found in parts.  Records are cut into blocks of ``BLOCK`` record
 numbers, so no task ever holds more than that many rows of a source; each block
@@ -35,6 +36,7 @@ from datetime import UTC, date, datetime, timedelta
 from functools import lru_cache, reduce
 from zoneinfo import ZoneInfo
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -244,35 +246,75 @@ def link(blocks: list[tuple[list[list[float]], list[Reading], list[Reading]]]) -
 
 
 READING = "array<struct<ord:string,at:double,norm:string>>"
+#: More than the transitions around one record can cost: two switches and two steps back.
+MOST_SAVED = 2 * (SWITCH + BACKWARD)
+
+
+def possible(found: tuple[Reading, ...], declared: str | None) -> list[Reading]:
+    """The interpretations some path could still choose.
+
+    One that costs more than the best of its record by more than all transitions
+    around it could save is on no cheapest path.
+    """
+    if len(found) < 2:
+        return list(found)
+    costs = [emission(r, declared) for r in found]
+    least = min(costs)
+    return [r for r, c in zip(found, costs) if c - least <= MOST_SAVED]
 
 
 def interpretations(rows: DataFrame) -> DataFrame:
-    """Adds ``options``, the array of all interpretations, to (…, value, zone_name)."""
-    names = rows.schema.names
+    """Adds the possible interpretations to (…, value, zone_name, date_order).
+
+    The first one stands in plain columns (``ord``, ``at``, ``norm``; null where
+    there is none), further ones in the array ``more`` (null where there are none).
+    """
+    names = [c for c in rows.columns if c not in ("value", "zone_name")]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             zones = [z if isinstance(z, str) else None for z in batch["zone_name"]]
-            found = [readings(v, z) for v, z in zip(batch["value"], zones)]
-            batch["options"] = [[{"ord": o, "at": t, "norm": n} for o, t, n in f] for f in found]
-            yield batch
+            orders = [o if isinstance(o, str) else None for o in batch["date_order"]]
+            found = [possible(readings(v, z), o) for v, z, o in zip(batch["value"], zones, orders)]
+            out = batch[names].copy()
+            for k, c in enumerate(("ord", "at", "norm")):
+                out[c] = [f[0][k] if f else None for f in found]
+            out["more"] = [[{"ord": o, "at": t, "norm": n} for o, t, n in f[1:]] if len(f) > 1 else None for f in found]
+            yield out
 
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
-    return rows.mapInPandas(parse, f"{schema}, options {READING}")
+    return rows.mapInPandas(parse, f"{schema}, ord string, at double, norm string, more {READING}")
 
 
 def _rows_of(frame: pd.DataFrame) -> list[tuple[tuple[Reading, ...], str | None]]:
     return [
-        (tuple((o["ord"], o["at"], o["norm"]) for o in options), declared if isinstance(declared, str) else None)
-        for options, declared in zip(frame["options"], frame["date_order"])
+        (((o, t, n), *((x["ord"], x["at"], x["norm"]) for x in more)) if more is not None else ((o, t, n),), declared if isinstance(declared, str) else None)
+        for o, t, n, more, declared in zip(frame["ord"], frame["at"], frame["norm"], frame["more"], frame["date_order"])
     ]
 
 
+def _decided(frame: pd.DataFrame) -> bool:
+    """Does every record of a block have one interpretation?"""
+    return bool(frame["more"].isna().all())
+
+
+def one_path_cost(frame: pd.DataFrame) -> float:
+    """Cost of the only path through a block whose records have one interpretation each."""
+    at, order, declared = frame["at"].to_numpy(), frame["ord"].to_numpy(str), frame["date_order"].fillna("").to_numpy(str)
+    off = (order != "") & np.isin(declared, ("dmy", "mdy")) & (order != declared)
+    switch = (order[1:] != "") & (order[:-1] != "") & (order[1:] != order[:-1])
+    return float(OFF_ORDER * off.sum() + SWITCH * switch.sum() + BACKWARD * (at[1:] < at[:-1]).sum())
+
+
 def _summary(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("rec_id")
-    costs, first, last = block_costs(_rows_of(frame))
+    if _decided(frame):
+        costs = [[one_path_cost(frame)]]
+        first, last = (_rows_of(frame.iloc[[k]])[0][0] for k in (0, -1))
+    else:
+        costs, first, last = block_costs(_rows_of(frame))
 
-    def pack(options: list[Reading]) -> list[dict]:
+    def pack(options) -> list[dict]:
         return [{"ord": o, "at": t, "norm": n} for o, t, n in options]
 
     key = frame.iloc[0]
@@ -312,6 +354,8 @@ def _linked(frame: pd.DataFrame) -> pd.DataFrame:
 def _decoded(frame: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
     if not len(frame):
         return pd.DataFrame({"track": [], "rec_id": [], "norm_value": []})
+    if _decided(frame):
+        return frame[["track", "rec_id"]].assign(norm_value=frame["norm"])
     frame = frame.sort_values("rec_id")
     rows = _rows_of(frame)
     path = decode(rows, int(ends["enter"].iloc[0]), int(ends["leave"].iloc[0]))
@@ -349,9 +393,9 @@ def normalise(tracks: DataFrame, sources: DataFrame, block: int = BLOCK) -> Data
         "source", F.coalesce("source", F.lit(""))
     )
     # Parsed once: the summaries, the decoding and the invalid values all read it.
-    options = cut(interpretations(placed.withColumn("block", F.expr(f"rec_id div {block}"))).drop("value", "zone_name"))
-    invalid = options.where(F.size("options") == 0).select("track", "rec_id", F.lit("INVALID").alias("norm_value"))
-    valid = options.where(F.size("options") > 0).select("track", "source", "block", "rec_id", "date_order", "options")
+    options = cut(interpretations(placed.withColumn("block", F.expr(f"rec_id div {block}"))))
+    invalid = options.where(F.col("norm").isNull()).select("track", "rec_id", F.lit("INVALID").alias("norm_value"))
+    valid = options.where(F.col("norm").isNotNull()).select("track", "source", "block", "rec_id", "date_order", "ord", "at", "norm", "more")
     summary = valid.groupBy("track", "source", "block").applyInPandas(
         _summary, f"track string, source string, block long, costs array<array<double>>, first {READING}, last {READING}"
     )
