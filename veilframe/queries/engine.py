@@ -15,6 +15,7 @@ from veilframe.functions import dates, numbers, rawdates, text
 from veilframe.operators import blinding, detect, profiler, protocol, reassign, risk, textcheck, treatments
 from veilframe.operators.vault import Vault, dummy_column
 from veilframe.session import table
+from veilframe.sources import files
 from veilframe.sources.files import workspace
 
 QUERIES: dict = {}
@@ -321,6 +322,27 @@ def surrogate_bijection(spark, d):
     return counts.withColumn("n_kept", F.lit(kept.count()).cast("bigint"))
 
 
+@query("SELECT count(DISTINCT usubjid) AS n_subjects, 0::BIGINT AS n_in_clear FROM dm")
+def vault_no_plaintext(spark, d):
+    """Originals that any file under the vault's folder holds in clear, staging included."""
+    subjects = table(spark, d, "dm").select("usubjid").where(F.col("usubjid").isNotNull()).distinct()
+    vault = _vault(spark)
+    vault.surrogates(subjects, "subject", "SUBJ")
+    vault.offsets(subjects)
+    vault.derangement(subjects, "all")
+    vault.text_dummies(subjects)
+    folders = [f"{vault.path}/{t}/{n}" for t, is_dir in files.listing(spark, vault.path) if is_dir for n, _ in files.listing(spark, f"{vault.path}/{t}")]
+    cells = []
+    for folder in folders:
+        held = spark.read.parquet(folder)
+        texts = [F.col(c).cast("binary") for c, t in held.dtypes if t in ("string", "binary")]
+        if texts:
+            cells.append(held.select(F.explode(F.array(*texts)).alias("cell")))
+    clear = reduce(DataFrame.unionByName, cells).join(subjects, F.col("cell") == F.col("usubjid").cast("binary"), "left_semi")
+    counted = subjects.agg(F.count(F.lit(1)).alias("n_subjects"))
+    return counted.withColumn("n_in_clear", F.lit(clear.count()).cast("bigint"))
+
+
 _SHAPE = "regexp_replace(regexp_replace(regexp_replace({c}, '[0-9]', '9', 'g'), '[A-Z]', 'A', 'g'), '[a-z]', 'a', 'g')"
 
 
@@ -663,6 +685,32 @@ def reassign_study_day_invariant(spark, d):
     return joined.groupBy(day.alias("study_day")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+SELECT study_day, count(*) AS n FROM (SELECT date_diff('day', min(o_orderdate) OVER (PARTITION BY o_custkey)::DATE, o_orderdate::DATE)::INT AS study_day FROM orders) GROUP BY 1""")
+def reassign_written_dates(spark, d):
+    """Dates written as 05-Mar-2024 move in their own form and keep their study day."""
+    orders, anchor = _spaced(spark, d)
+    written = orders.withColumn("dtc", F.date_format(dates.whole_date(F.col("dtc")), "dd-MMM-yyyy"))
+    moved = reassign.by_subject(written, "subject", ["dtc"], anchor, _vault(spark), orders={"dtc": "dmy"})
+    joined = moved.join(anchor.withColumnRenamed("subject", "_s"), F.col("subject") == F.col("_s"))
+    at = F.try_to_timestamp("dtc", F.lit("dd-MMM-yyyy")).cast("date")
+    return joined.groupBy(F.datediff(at, dates.whole_date(F.col("anchor"))).alias("study_day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT count(*) AS n_rows, 0::BIGINT AS n_donors_value FROM orders")
+def reassign_mirrors(spark, d):
+    """Columns that repeat their subject's row carry the new owner's values after the move."""
+    people = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("subject"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name"))
+    orders, anchor = _spaced(spark, d)
+    orders = orders.join(people, "subject")
+    rows = people.select("subject", F.col("segment").alias("a_segment"), F.col("name").alias("a_name"))
+    moved = reassign.by_subject(orders, "subject", ["dtc"], anchor, _vault(spark), rows=rows)
+    own = people.select(F.col("subject").alias("_s"), F.col("segment").alias("_segment"), F.col("name").alias("_name"))
+    joined = moved.join(own, F.col("subject") == F.col("_s"), "left")
+    right = F.col("segment").eqNullSafe(F.col("_segment")) & F.col("name").eqNullSafe(F.col("_name"))
+    return joined.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~right).alias("n_donors_value"))
+
+
 @query("SELECT count(*) AS n_subjects, 0::BIGINT AS n_kept_own, count(*) AS n_recipients FROM (SELECT DISTINCT o_custkey FROM orders)")
 def reassign_derangement(spark, d):
     pairs = _vault(spark).derangement(_spaced(spark, d)[0].select("subject"), "all")
