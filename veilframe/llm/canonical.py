@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -72,6 +72,8 @@ SOUNDS = [
     ("ch", "k"), ("ck", "k"), ("c(?=[eiy])", "s"), ("c", "k"), ("q", "k"), ("x", "ks"), ("z", "s"), ("(.)\\1", "\\1"),
 ]
 
+_SOUNDS = [(re.compile(spelling), said) for spelling, said in SOUNDS]
+
 
 def budget(length: int) -> int:
     """Edits allowed in a word of this many letters (under 4: only inside longer entries)."""
@@ -85,8 +87,8 @@ def joined_budget(length: int) -> int:
 
 def sound(word: str, reference: bool = False) -> set[tuple[str, int]]:
     """Consonant skeleton and vowel groups; a reference word may end silently."""
-    for spelling, said in SOUNDS:
-        word = re.sub(spelling, said, word)
+    for spelling, said in _SOUNDS:
+        word = spelling.sub(said, word)
     head = "a" if word[:1] in "aeiouy" else ""
     skeleton = head + VOWELS.sub("", word)
     groups = len(VOWELS.findall(word))
@@ -96,8 +98,10 @@ def sound(word: str, reference: bool = False) -> set[tuple[str, int]]:
 
 def fold(text: str) -> list[str]:
     """Folded words of a value."""
-    text = text.lower().replace("ß", "ss").replace("'", "").replace("’", "").replace("æ", "ae").replace("œ", "oe")
-    text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    text = text.lower().replace("'", "")
+    if not text.isascii():
+        text = text.replace("ß", "ss").replace("’", "").replace("æ", "ae").replace("œ", "oe")
+        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
     return [w for w in WORD.findall(text) if w not in STOP]
 
 
@@ -139,7 +143,8 @@ class Trie:
         rows at once, and a branch is left by the queries it can no longer serve.
         """
         found: list[dict[int, float]] = [{} for _ in queries]
-        fits = [k for k, q in enumerate(queries) if len(q) <= self.longest + most[k]]
+        # Queries of like length walk together: their rows are as short as they can be.
+        fits = sorted((k for k, q in enumerate(queries) if len(q) <= self.longest + most[k]), key=lambda k: len(queries[k]))
         for at in range(0, len(fits), QUERIES):
             self._walk(queries, most, fits[at : at + QUERIES], found)
         return found
@@ -157,9 +162,10 @@ class Trie:
         steps = np.arange(n + 1, dtype=np.int16)
         first = np.broadcast_to(steps, (len(chosen), n + 1))
         every = np.arange(len(chosen))
-        stack = [(child, c, "", every, first, first, 1) for c, child in self.root[0].items()]
+        zero = np.zeros(len(chosen), np.int16)
+        stack = [(child, c, "", every, first, first, zero, 1) for c, child in self.root[0].items()]
         while stack:
-            node, c, before, who, row, above, depth = stack.pop()
+            node, c, before, who, row, above, row_least, depth = stack.pop()
             new = np.empty_like(row)
             new[:, 0] = depth
             np.minimum(row[:, :-1] + ~like[c][who], row[:, 1:] + 1, out=new[:, 1:])
@@ -174,12 +180,14 @@ class Trie:
             if not node[0]:
                 continue
             # The row above still counts for one step, through a swapped pair.
-            alive = (new.min(1) <= bound[who]) | (row.min(1) < bound[who])
-            if not alive.any():
+            least, own = new.min(1), bound[who]
+            alive = (least <= own) | (row_least < own)
+            n_alive = int(np.count_nonzero(alive))
+            if not n_alive:
                 continue
-            if not alive.all():
-                who, new, row = who[alive], new[alive], row[alive]
-            stack += [(child, d, c, who, new, row, depth + 1) for d, child in node[0].items()]
+            if n_alive < len(who):
+                who, new, row, least = who[alive], new[alive], row[alive], least[alive]
+            stack += [(child, d, c, who, new, row, least, depth + 1) for d, child in node[0].items()]
 
     def find(self, word: str) -> int:
         """Number of a word of the trie, -1 if it is none."""
@@ -313,7 +321,7 @@ class Canonical:
             node = node.setdefault(self.words.letters.find(w), {})
         node.setdefault(-1, set()).add(entry)
 
-    def walked(self, words: list[str]) -> dict[int, float]:
+    def walked(self, words: Sequence[str]) -> dict[int, float]:
         """Every entry reachable word by word with its best score (letters covered less edits)."""
         best: dict[int, float] = {}
         names = self.words.letters.words
@@ -338,7 +346,7 @@ class Canonical:
                         stack.append((node, at + 1, cost + STRAY_COST, letters, depth, over))
         return best
 
-    def _windows(self, words: list[str]) -> Iterator[tuple[int, int, str]]:
+    def _windows(self, words: Sequence[str]) -> Iterator[tuple[int, int, str]]:
         """(start, end, text) of consecutive words written in one."""
         for start in range(len(words)):
             text = ""
@@ -349,14 +357,14 @@ class Canonical:
                 if len(text) > 5:
                     yield start, end, text
 
-    def learn(self, values: list[list[str]]) -> None:
+    def learn(self, values: Sequence[Sequence[str]]) -> None:
         """Settles all windows of new values in one walk."""
         if len(self.near) > 200_000:
             self.near.clear()
         new = sorted({t for words in values for _, _, t in self._windows(words) if t not in self.near})
         self.near.update(zip(new, self.joined.within_many(new, [joined_budget(len(t)) for t in new])))
 
-    def without_blanks(self, words: list[str]) -> dict[int, float]:
+    def without_blanks(self, words: Sequence[str]) -> dict[int, float]:
         """Entries written in one, or cut into other words than theirs."""
         best: dict[int, float] = {}
         for start, end, text in self._windows(words):
@@ -373,7 +381,9 @@ class Canonical:
 
     def candidates_of(self, values: list[str | None]) -> list[dict[int, float]]:
         """Per value every entry within distance of it with its score."""
-        folded = [fold(v) if v else [] for v in values]
+        written = [tuple(fold(v)) if v else () for v in values]
+        # Values that differ in case, accents or marks only are one value.
+        folded = list(dict.fromkeys(written))
         self.words.learn({w for words in folded for w in words})
         walked = [self.walked(words) for words in folded]
         weak = [k for k, best in enumerate(walked) if not best or max(best.values()) < WEAK]
@@ -381,7 +391,8 @@ class Canonical:
         for k in weak:
             for entry, score in self.without_blanks(folded[k]).items():
                 walked[k][entry] = max(walked[k].get(entry, -1e9), score)
-        return [{e: s for e, s in best.items() if s >= LEAST} for best in walked]
+        of_value = {words: {e: s for e, s in best.items() if s >= LEAST} for words, best in zip(folded, walked)}
+        return [of_value[words] for words in written]
 
     def candidates(self, value: str | None) -> dict[int, float]:
         return self.candidates_of([value])[0]
