@@ -81,11 +81,13 @@ FORMS = [
     ("year", rf"(?:{_UNKNOWN}[-/. ]*){{0,2}}{_YEAR}(?:[-/. ]*{_UNKNOWN}){{0,2}}"),
 ]
 _FORMS = [(name, re.compile(pattern, re.I)) for name, pattern in FORMS]
+_COUNT = re.compile(r"-?\d{9,10}|\d{13}")
 
 #: One interpretation: (order "dmy"/"mdy"/"", time in seconds, normal form).
 Reading = tuple[str, float, str]
 
 
+@lru_cache(maxsize=10_000)
 def month_number(name: str) -> int | None:
     folded = "".join(c for c in unicodedata.normalize("NFKD", name.lower()) if not unicodedata.combining(c))
     for length in (len(folded), 4, 3):
@@ -147,7 +149,7 @@ def _reading(order: str, year: int, month: int | None, day: int | None, part: di
 def readings(value: str, site_zone: str | None) -> tuple[Reading, ...]:
     """All valid interpretations of one written value."""
     text = value.strip()
-    if re.fullmatch(r"-?\d{9,10}|\d{13}", text):
+    if _COUNT.fullmatch(text):
         seconds = int(text) // (1000 if len(text) == 13 else 1)
         moment = datetime.fromtimestamp(seconds, UTC)
         return (("", float(seconds), moment.strftime("%Y-%m-%dT%H:%M:%SZ").rjust(20, "0")),)
